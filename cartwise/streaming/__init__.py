@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is monthly batch and has no streaming operator.
+
+Month increments are served by ``plans.retrain`` (one batch run per cut-off) and
+``operators.evolution`` (all expanding cut-offs in one job).
+"""
