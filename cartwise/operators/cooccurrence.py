@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 BLOCK = 64
 
 
-def weighted_blocks(baskets: DataFrame, entries: Column, by: Sequence[str]) -> DataFrame:
+def weighted_blocks(
+    baskets: DataFrame, entries: Column, by: Sequence[str], weight: str | None = None
+) -> DataFrame:
     """Distinct (left, right) block pairs of sorted entries with their number of customers.
 
     Identical baskets collapse here into one weighted row (with partial counts
@@ -20,22 +22,28 @@ def weighted_blocks(baskets: DataFrame, entries: Column, by: Sequence[str]) -> D
     """
     last = F.floor((F.size("entries") - 1) / BLOCK).cast("int")
     return (
-        baskets.select(*by, F.sort_array(entries).alias("entries"))
+        baskets.select(
+            *by,
+            F.sort_array(entries).alias("entries"),
+            (F.col(weight) if weight else F.lit(1)).alias("weight"),
+        )
         .select(
             *by,
+            "weight",
             F.transform(
                 F.sequence(F.lit(0), last),
                 lambda i: F.slice("entries", i * BLOCK + 1, F.lit(BLOCK)),
             ).alias("blocks"),
         )
-        .select(*by, "blocks", F.posexplode("blocks").alias("at", "left"))
+        .select(*by, "weight", "blocks", F.posexplode("blocks").alias("at", "left"))
         .select(
             *by,
+            "weight",
             "left",
             F.explode(F.slice("blocks", F.col("at") + 1, F.size("blocks"))).alias("right"),
         )
         .groupBy(*by, "left", "right")
-        .agg(F.count(F.lit(1)).alias("customers"))
+        .agg(F.sum("weight").alias("customers"))
     )
 
 
@@ -84,9 +92,9 @@ def category_customers(baskets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def gram(baskets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def gram(baskets: DataFrame, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Inner products of the count columns of the matrix, ``cat_a <= cat_b`` (per group)."""
-    blocks = weighted_blocks(baskets, F.arrays_zip("cats", "counts"), by)
+    blocks = weighted_blocks(baskets, F.arrays_zip("cats", "counts"), by, weight)
     return (
         exploded_pairs(blocks, by, skip=0)
         .groupBy(*by, F.col("a.cats").alias("cat_a"), F.col("b.cats").alias("cat_b"))

@@ -63,25 +63,7 @@ def popularity_at_k(
     units: DataFrame, popular: DataFrame, ks: Sequence[int], by: Sequence[str] = ()
 ) -> DataFrame:
     """Precision and recall of the popularity list for each k."""
-    by = list(by)
-    hits = (
-        popularity_rank_counts(units, popular, by)
-        .select(*by, "customers", F.explode(F.filter(
-            F.array(*(F.lit(int(k)) for k in ks)), lambda k: k >= F.col("place"))).alias("k"))
-        .groupBy(*by, "k")
-        .agg(F.sum("customers").alias("hits"))
-    )
-    totals = units.groupBy(*by).agg(F.coalesce(F.sum("customers"), F.lit(0)).alias("n_users"))
-    grid = totals.select("*", F.explode(F.array(*(F.lit(int(k)) for k in ks))).alias("k"))
-    return grid.join(hits, [*by, "k"], "left").select(
-        *by,
-        "k",
-        F.coalesce(F.try_divide(F.coalesce("hits", F.lit(0)), F.col("k") * F.col("n_users")), F.lit(0.0)).alias(
-            "precision"
-        ),
-        F.coalesce(F.try_divide(F.coalesce("hits", F.lit(0)), F.col("n_users")), F.lit(0.0)).alias("recall"),
-        "n_users",
-    )
+    return measures_at_k(units, popularity_rank_counts(units, popular, by), ks, by)
 
 
 def loo_metrics(
@@ -151,36 +133,49 @@ def raw_similarity_recall(
     popular: DataFrame,
     ks: Sequence[int],
     weight: str = "sim",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Leave-one-out measures of the plain similarity sum for each k (one ranking serves all)."""
-    deepest = max(ks)
+    by = list(by)
     ranked = rank_units(
         units,
         similarity,
         popular,
         [Variant("similarity", weight, keep_all=True)],
-        deepest,
+        max(ks),
+        by,
         carry=["test", "customers"],
     )
-    hits = (
+    places = (
         ranked.where(F.col("category") == F.col("test"))
-        .groupBy("rank")
+        .groupBy(*by, F.col("rank").alias("place"))
         .agg(F.sum("customers").alias("customers"))
-        .select(
-            "customers",
-            F.explode(F.filter(F.array(*(F.lit(int(k)) for k in ks)), lambda k: k >= F.col("rank"))).alias("k"),
-        )
-        .groupBy("k")
+    )
+    return measures_at_k(units, places, ks, by)
+
+
+def measures_at_k(
+    units: DataFrame, places: DataFrame, ks: Sequence[int], by: Sequence[str] = ()
+) -> DataFrame:
+    """Precision and recall per k from the number of customers at each place."""
+    by = list(by)
+    all_k = F.array(*(F.lit(int(k)) for k in ks))
+    hits = (
+        places.select(*by, "customers", F.explode(F.filter(all_k, lambda k: k >= F.col("place"))).alias("k"))
+        .groupBy(*by, "k")
         .agg(F.sum("customers").alias("hits"))
     )
-    grid = units.agg(F.coalesce(F.sum("customers"), F.lit(0)).alias("n_users")).select(
-        "n_users", F.explode(F.array(*(F.lit(int(k)) for k in ks))).alias("k")
+    grid = (
+        units.groupBy(*by)
+        .agg(F.coalesce(F.sum("customers"), F.lit(0)).alias("n_users"))
+        .select(*by, "n_users", F.explode(all_k).alias("k"))
     )
-    hit = F.coalesce("hits", F.lit(0))
-    return grid.join(hits, "k", "left").select(
+    hit, zero = F.coalesce("hits", F.lit(0)), F.lit(0.0)
+    return grid.join(hits, [*by, "k"], "left").select(
+        *by,
         "k",
-        F.coalesce(F.try_divide(hit, F.col("k") * F.col("n_users")), F.lit(0.0)).alias("precision"),
-        F.coalesce(F.try_divide(hit, F.col("n_users")), F.lit(0.0)).alias("recall"),
+        F.coalesce(F.try_divide(hit, F.col("k") * F.col("n_users")), zero).alias("precision"),
+        F.coalesce(F.try_divide(hit, F.col("n_users")), zero).alias("recall"),
         "n_users",
     )
 

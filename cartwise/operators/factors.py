@@ -21,6 +21,8 @@ from cartwise.session import stage
 
 # Categories up to which a Gram matrix (8 bytes per pair: 32 MB) may sit in one task.
 DENSE_CATEGORIES = 2_000
+# Rows of a factor matrix (at most some 40 doubles each) that may be sent to the tasks.
+FACTOR_ROWS = 100_000
 
 
 def _dense(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -122,24 +124,34 @@ def _distributed_factors(products: DataFrame, n_components: int) -> DataFrame:
 def cosine_similarity(factors: DataFrame) -> DataFrame:
     """Cosine between the factor rows of all categories (both directions, with diagonal).
 
-    Every category meets every category because the result is that dense
-    table; the frame has one row per category.
+    The small factor matrix (one row per category, size checked) goes to the
+    tasks; each task multiplies its own rows with it.
     """
-    unit = factors.select(
-        "category_en",
-        F.expr("sqrt(aggregate(factors, 0D, (s, x) -> s + x * x))").alias("norm"),
-        "factors",
-    ).select("category_en", F.expr("transform(factors, x -> if(norm > 0, x / norm, 0D))").alias("f"))
-    keyed = unit.withColumn("all", F.lit(1))
-    a = keyed.select("all", F.col("category_en").alias("cat_a"), F.col("f").alias("fa"))
-    b = keyed.select("all", F.col("category_en").alias("cat_b"), F.col("f").alias("fb"))
-    return a.join(b, "all").select(
-        "cat_a",
-        "cat_b",
-        F.expr("aggregate(zip_with(fa, fb, (x, y) -> x * y), 0D, (s, x) -> s + x)").alias("sim"),
+    known = factors.limit(FACTOR_ROWS + 1).toPandas()
+    if len(known) > FACTOR_ROWS:
+        raise ValueError(f"a dense similarity of more than {FACTOR_ROWS} categories is not supported")
+    known = known.sort_values("category_en")
+    shared = factors.sparkSession.sparkContext.broadcast(
+        (known["category_en"].to_numpy(), _unit_rows(np.vstack(known["factors"])))
+    )
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cats, unit = shared.value
+        for pdf in batches:
+            for name, row in zip(pdf["category_en"], pdf["factors"]):
+                mine = _unit_rows(np.asarray(row, dtype=float)[None, :])
+                yield pd.DataFrame({"cat_a": name, "cat_b": cats, "sim": (unit @ mine.T).ravel()})
+
+    return factors.select("category_en", "factors").mapInPandas(
+        multiply, "cat_a string, cat_b string, sim double"
     )
 
 
+def _unit_rows(rows: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
+
+
 def svd_similarity(baskets: DataFrame, n_components: int = 15) -> DataFrame:
     return cosine_similarity(stage(category_factors(stage(gram(baskets)), n_components)))
 
@@ -161,8 +173,7 @@ def svd_similarities(products: DataFrame, components: Sequence[int], by: Sequenc
             out[c] = [pdf[c].iloc[0]] * (len(cats) ** 2)
         for name, k in zip(names, components):
             _, vectors = _leading(matrix, _clip(k, len(cats)))
-            norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-            unit = np.divide(vectors, norm, out=np.zeros_like(vectors), where=norm > 0)
+            unit = _unit_rows(vectors)
             out[name] = (unit @ unit.T).ravel()
         return pd.DataFrame(out)
 
