@@ -158,6 +158,11 @@ def cross_validate(
     ).withColumn("fold", F.col("fold") + 1)
 
 
+def best_first() -> tuple[Column, Column]:
+    """Published recalls have four decimals; equal ones keep the order of the trials."""
+    return F.round("recall_mean", 4).desc(), F.asc("trial")
+
+
 PARAM_SCHEMA = (
     "variant string, method string, cf_method string, alpha double, min_support int, n_components int"
 )
@@ -201,7 +206,7 @@ def search_table(
         .join(means, "variant")
         .withColumn("trial", F.col("variant").cast("int"))
         .drop("variant")
-        .orderBy(F.desc("recall_mean"), "trial")
+        .orderBy(*best_first())
     )
 
 
@@ -260,7 +265,7 @@ def conditional_params(n_trials: int = 20, seed: int = 42) -> list[dict]:
 
 
 def best_params(table: DataFrame) -> dict:
-    row = table.orderBy(F.desc("recall_mean"), "trial").first()
+    row = table.orderBy(*best_first()).first()
     found = {c: row[c] for c in ("method", "cf_method", "alpha", "min_support", "n_components")}
     return {c: v for c, v in found.items() if v is not None}
 
@@ -270,12 +275,12 @@ def tuning_winner(tables: dict[str, DataFrame]) -> DataFrame:
     union = None
     for place, (name, table) in enumerate(tables.items()):
         best = (
-            table.orderBy(F.desc("recall_mean"), "trial")
+            table.orderBy(*best_first())
             .limit(1)
             .select(F.lit(name).alias("search"), F.lit(place).alias("place"), *table.columns)
         )
         union = best if union is None else union.unionByName(best)
-    return union.orderBy(F.desc("recall_mean"), "place")
+    return union.orderBy(F.round("recall_mean", 4).desc(), "place")
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:
