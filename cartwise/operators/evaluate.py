@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators.recommend import Variant, basket_units, rank_units
-from cartwise.session import stage
+from cartwise.session import small_side, stage
 
 
 def loo_units(baskets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +42,7 @@ def popularity_rank_counts(units: DataFrame, popular: DataFrame, by: Sequence[st
     )
     places = (
         units.select(*by, "unit_id", "customers", F.inline(entries))
-        .join(popular.select(*by, "category_en", "rank"), [*by, "category_en"])
+        .join(small_side(popular.select(*by, "category_en", "rank")), [*by, "category_en"])
         .groupBy(*by, "unit_id")
         .agg(
             F.first("customers").alias("customers"),

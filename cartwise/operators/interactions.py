@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.operators.features import purchase_order
+from cartwise.session import stage
 
 KEYS = ["customer_unique_id", "category_en"]
 
@@ -150,33 +151,29 @@ def customer_history(master: DataFrame) -> DataFrame:
 def history_rows(master: DataFrame) -> DataFrame:
     """Every purchase of every customer with its position in that customer's history.
 
-    Positions are counted inside (customer, day) and shifted by the customer's
-    earlier days, so that a customer with very many rows is spread over tasks.
+    Rows are range-partitioned by customer and place. Positions are counted
+    inside each range and shifted by the customer's earlier ranges, so a
+    customer holding a large share of all rows is spread over many tasks.
     """
-    rows = master.dropna(subset=KEYS).select(
-        *KEYS,
-        F.to_date("order_purchase_timestamp").alias("day"),
-        purchase_order().alias("place"),
+    rows = master.dropna(subset=KEYS).select(*KEYS, purchase_order().alias("place"))
+    ranged = stage(  # the ranges come from a sample and must be drawn only once
+        rows.repartitionByRange("customer_unique_id", "place").withColumn(
+            "part", F.spark_partition_id()
+        )
     )
-    order = Window.partitionBy("customer_unique_id").orderBy(F.col("day").asc_nulls_last())
+    order = Window.partitionBy("customer_unique_id").orderBy("part")
     shifts = (
-        rows.groupBy("customer_unique_id", "day")
+        ranged.groupBy("customer_unique_id", "part")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("shift", F.sum("n").over(order) - F.col("n"))
-        .select("customer_unique_id", F.col("day").alias("of_day"), "shift")
+        .select("customer_unique_id", "part", (F.sum("n").over(order) - F.col("n")).alias("shift"))
     )
-    inside = Window.partitionBy("customer_unique_id", "day").orderBy("place")
-    placed = rows.withColumn("inside", F.row_number().over(inside))
+    inside = Window.partitionBy("customer_unique_id", "part").orderBy("place")
     return (
-        placed.alias("p")
-        .join(
-            shifts.alias("s"),
-            (F.col("p.customer_unique_id") == F.col("s.customer_unique_id"))
-            & F.col("p.day").eqNullSafe(F.col("s.of_day")),
-        )
+        ranged.withColumn("inside", F.row_number().over(inside))
+        .join(shifts, ["customer_unique_id", "part"])
         .select(
-            "p.customer_unique_id",
-            (F.col("shift") + F.col("inside")).cast("int").alias("position"),
+            "customer_unique_id",
+            (F.col("shift") + F.col("inside")).cast("bigint").alias("position"),
             "category_en",
         )
     )

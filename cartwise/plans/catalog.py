@@ -8,6 +8,7 @@ and read back column-pruned.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +57,10 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def folder(self, name: str) -> str:
+        """A new folder in the shared checkpoint folder."""
+        return f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+
     @functools.cached_property
     def sources(self) -> tables.Sources:
         return testdata.load(self.spark, self.sf_dir)
@@ -168,7 +173,7 @@ def labelled_products(t: Tables) -> DataFrame:
 @query
 def csv_round_trip(t: Tables) -> DataFrame:
     """Writes all tables as CSV, reads them back and counts orders per category."""
-    path = f"{ensure_checkpoint_dir(t.spark)}/csv-{t.spark.sparkContext.applicationId}-{abs(hash(t.sf_dir))}"
+    path = t.folder("csv")
     tables.write_sources(t.sources, path, "csv")
     again = tables.read_sources(t.spark, path, "csv")
     return interactions.popularity(master.build_master(again)).select("category_en", "num_orders", "rank")
@@ -389,10 +394,13 @@ def recommend_svd(t: Tables) -> DataFrame:
 
 
 @query
-def recommend_one_customer(t: Tables) -> DataFrame:
-    one = t.baskets.where("customer_unique_id = '7'")
-    listed = recommend.recommend_all(one, t.jaccard, t.popular, recommend.Variant("hybrid", "sim", 1.0), 10)
-    return rounded(listed, affinity=8, score=8, explain=8)
+def recommend_final_model(t: Tables) -> DataFrame:
+    """The shipped parameters (hybrid, alpha 1) with each customer's history."""
+    listed = _recommended(t, t.jaccard, recommend.Variant("hybrid", "sim", 1.0))
+    history = t.baskets.where("n_categories >= 2").select(
+        "customer_unique_id", F.concat_ws("|", "cats").alias("history")
+    )
+    return history.join(listed.where("rank <= 10"), "customer_unique_id")
 
 
 # --- evaluation ---------------------------------------------------------------------
@@ -460,15 +468,18 @@ def period_recall_copurchase(t: Tables) -> DataFrame:
     )
 
 
-@query
-def temporal_backtest(t: Tables) -> DataFrame:
+def _backtest(t: Tables) -> DataFrame:
     past = t.split.where("split <> 'backtest'")
     baskets = stage(interactions.customer_baskets(past))
     fitted = model.fit(past, {"method": "hybrid", "alpha": 0.7, "min_support": 10}, baskets)
-    found = evaluate.backtest(
+    return evaluate.backtest(
         baskets, t.split.where("split = 'backtest'"), fitted.similarity, fitted.popular, fitted.variant
     )
-    return rounded(found, precision=8, recall=8)
+
+
+@query
+def temporal_backtest(t: Tables) -> DataFrame:
+    return rounded(_backtest(t), precision=8, recall=8)
 
 
 # --- search ---------------------------------------------------------------------------
@@ -528,6 +539,24 @@ def model_families(t: Tables) -> DataFrame:
     return tune.compare_families(t.baskets, t.popular)
 
 
+@query
+def scenario_measures(t: Tables) -> DataFrame:
+    """Leave-one-out, cross-validated and backtest measures side by side."""
+    params = [{"method": "hybrid", "alpha": 0.7, "min_support": 10}]
+    folds = tune.cross_validate(t.baskets, t.popular, params, n_splits=3)
+    variant = recommend.Variant("hybrid", "sim", 0.7)
+    table = reports.scenario_table(
+        {
+            "leave_one_out": evaluate.loo_metrics(t.units, t.jaccard, t.popular, [variant]),
+            "cross_validation": folds.agg(
+                F.avg("precision").alias("precision"), F.avg("recall").alias("recall")
+            ),
+            "backtest": _backtest(t),
+        }
+    )
+    return rounded(table, value=8)
+
+
 # --- monthly runs ------------------------------------------------------------------------
 
 
@@ -547,7 +576,7 @@ def expanding_popularity(t: Tables) -> DataFrame:
 @query
 def monthly_retrain_log(t: Tables) -> DataFrame:
     """One retraining run with a cut-off, exported, logged and read back."""
-    folder = f"{ensure_checkpoint_dir(t.spark)}/models-{t.spark.sparkContext.applicationId}-{abs(hash(t.sf_dir))}"
+    folder = t.folder("models")
     params = {"method": "hybrid", "alpha": 1.0, "min_support": 10}
     retrain.monthly_retrain(t.sources, params, folder, VALIDATION_END, version="20000630_0000")
     log = model_store.read_log(t.spark, folder)

@@ -89,7 +89,7 @@ def null_side(table: str, side: str) -> str:
     )
 
 
-def recommended(hist: str, alpha: str, sim: str | None = "sim", where: str = "") -> str:
+def recommended(hist: str, alpha: str, sim: str | None = "sim") -> str:
     """Top ten of all customers with affinity, score and mean similarity."""
     parts = ["bask AS MATERIALIZED (SELECT u, cat FROM firsts)"]
     parts.append(SIM10 if sim else "sim AS (SELECT 'x' AS cat_a, 'x' AS cat_b, 0.0 AS sim WHERE false)")
@@ -99,7 +99,7 @@ def recommended(hist: str, alpha: str, sim: str | None = "sim", where: str = "")
 SELECT r.u AS customer_unique_id, cat AS category, rank, {stable("cf", 8)} AS affinity,
   {stable("score" if sim else "0.0", 8)} AS score, {stable("cf / size", 8)} AS explain
 FROM recs r JOIN (SELECT u, count(*) AS size FROM firsts GROUP BY 1) s ON s.u = r.u
-WHERE rank <= 10 {where}"""
+WHERE rank <= 10"""
     )
 
 
@@ -223,7 +223,10 @@ JOIN inter b ON a.u = b.u AND a.cat <= b.cat GROUP BY 1, 2""",
     "recommend_popularity": recommended(HIST, "1", None),
     "recommend_copurchase": recommended(HIST, "1.0"),
     "recommend_hybrid": recommended(HIST, "0.5"),
-    "recommend_one_customer": recommended(HIST, "1.0", where="AND r.u = '7'"),
+    "recommend_final_model": recommended(HIST, "1.0").replace("r.u AS customer_unique_id,", "r.u AS customer_unique_id, history,").replace(
+        "SELECT u, count(*) AS size FROM firsts GROUP BY 1",
+        "SELECT u, count(*) AS size, string_agg(cat, '|' ORDER BY place) AS history FROM firsts GROUP BY 1 HAVING count(*) >= 2",
+    ),
     "popularity_curve": HIST + "," + LOO + "," + CURVE
     + TOP.format(p=stable("hits / (n_users * k)", 8), r=stable("hits / n_users", 8), ks="(SELECT CAST(range AS INTEGER) AS k FROM range(1, 21))"),
     "loo_popularity": loo("popularity", "1.0", sim=False),
@@ -356,3 +359,12 @@ FROM (SELECT segment, count(*) AS n FROM rfm_seg WHERE segment IS NOT NULL GROUP
     "report_top_category_features": CLEANED + "," + category_features() + f"""
 SELECT {CAT_COLUMNS} FROM cat_full ORDER BY cat_full.total_orders DESC, category_en LIMIT 20""",
 }
+
+
+STATEMENTS["scenario_measures"] = f"""
+WITH a AS (SELECT 'leave_one_out' AS scenario, precision, recall FROM ({loo("hybrid", "0.7")})),
+b AS (SELECT 'cross_validation' AS scenario, {stable("avg(precision)", 8)} AS precision, {stable("avg(recall)", 8)} AS recall
+  FROM ({HIST + "," + folds(3) + "," + fold_search([("0", 0.7, 10)])} SELECT precision, recall FROM fold_rows)),
+c AS (SELECT 'backtest' AS scenario, precision, recall FROM ({STATEMENTS["temporal_backtest"]})),
+d AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)
+SELECT scenario, 'precision' AS metric, precision AS value FROM d UNION ALL SELECT scenario, 'recall', recall FROM d"""
