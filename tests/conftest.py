@@ -6,6 +6,7 @@ import sys
 
 import pytest
 
+os.environ.setdefault("CARTWISE_PARTITIONS", "3")  # tiny tables
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cartwise.session import local_session  # noqa: E402
