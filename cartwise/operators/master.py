@@ -54,24 +54,26 @@ def build_master(src: Sources) -> DataFrame:
     """Join all sources and derive the per-row features.
 
     The large side of every join is the side AQE may split when a key is hot:
-    items are on the left of their lookups, and items meet orders in an inner
+    items are on the left of their lookups, and lines meet orders in an inner
     join (a left join from orders could not split a hot order's items). Orders
-    without items come from an anti join against the distinct item orders.
-    Lookup tables are broadcast by Spark only below its size threshold.
+    without items enter as empty lines, found by an anti join of order ids
+    only. Lookup tables are broadcast by Spark only below its size threshold.
     """
     items = src.items.join(
         labelled_products(src.products, src.category_map), "product_id", "left"
     ).join(src.sellers.select("seller_id", "seller_state"), "seller_id", "left")
+    empty = (
+        src.orders.select("order_id")
+        .join(src.items.select("order_id").distinct(), "order_id", "left_anti")
+        .select("order_id", *(F.lit(None).cast(t).alias(c) for c, t in ITEM_COLUMNS.items()))
+    )
     orders = (
         src.orders.join(src.customers, "customer_id", "left")
         .join(reviews_per_order(src.reviews), "order_id", "left")
         .join(payments_per_order(src.payments), "order_id", "left")
     )
-    with_items = orders.join(items.select("order_id", *ITEM_COLUMNS), "order_id")
-    without_items = orders.join(
-        src.items.select("order_id").distinct(), "order_id", "left_anti"
-    ).select("*", *(F.lit(None).cast(t).alias(c) for c, t in ITEM_COLUMNS.items()))
-    return with_derived(with_items.unionByName(without_items))
+    lines = items.select("order_id", *ITEM_COLUMNS).unionByName(empty)
+    return with_derived(orders.join(lines, "order_id"))
 
 
 def with_derived(joined: DataFrame) -> DataFrame:
