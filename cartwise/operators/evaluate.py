@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.operators.recommend import Variant, basket_units, rank_units
+from cartwise.operators.recommend import Variant, attach_to_customers, basket_units, rank_units
 from cartwise.session import small_side, stage
 
 
@@ -219,13 +219,6 @@ def _truth_pairs(period: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _with_units(baskets: DataFrame, units: DataFrame) -> DataFrame:
-    """Customers with the id of their basket's unit."""
-    return baskets.select("customer_unique_id", F.sort_array("cats").alias("cats")).join(
-        units.select("cats", "unit_id"), "cats"
-    )
-
-
 def evaluate_periods(
     split: DataFrame,
     train_baskets: DataFrame,
@@ -241,7 +234,7 @@ def evaluate_periods(
     both later periods.
     """
     units = basket_units(train_baskets)
-    known = _with_units(train_baskets, units)
+    known = attach_to_customers(train_baskets, units)
     truth = stage(
         _truth_pairs(split.where("split <> 'train'"), ["split"])
         .join(known.select("customer_unique_id", "unit_id"), "customer_unique_id")
@@ -285,7 +278,7 @@ def backtest(
     """Mean per-customer precision and recall on categories that are new in the later period."""
     units = basket_units(train_baskets)
     history = train_baskets.select("customer_unique_id", F.explode("cats").alias("category"))
-    known = _with_units(train_baskets, units)
+    known = attach_to_customers(train_baskets, units)
     fresh = (
         _truth_pairs(later)
         .join(known.select("customer_unique_id", "unit_id"), "customer_unique_id")

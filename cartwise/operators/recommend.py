@@ -175,6 +175,26 @@ def rank_units(
     )
 
 
+# A basket shared by more than one customer in this many is joined by broadcast.
+HOT_SHARE = 1_000
+
+
+def attach_to_customers(baskets: DataFrame, per_basket: DataFrame) -> DataFrame:
+    """Customers with the row of their basket (``cats``, ``customers`` and more; staged).
+
+    At most ``HOT_SHARE`` baskets can each hold more than that share of all
+    customers. Those few rows are broadcast, so no task receives all customers
+    of a hot basket; the other baskets meet their customers in a shuffle.
+    """
+    total = per_basket.agg(F.sum("customers")).first()[0] or 0
+    hot = per_basket.where(F.col("customers") * HOT_SHARE > total)
+    rare = per_basket.where(F.col("customers") * HOT_SHARE <= total)
+    users = baskets.select("customer_unique_id", F.sort_array("cats").alias("cats"))
+    in_hot = users.join(F.broadcast(hot), "cats")
+    in_rare = users.join(F.broadcast(hot.select("cats")), "cats", "left_anti").join(rare, "cats")
+    return in_hot.unionByName(in_rare)
+
+
 def recommend_all(
     baskets: DataFrame,
     similarity: DataFrame | None,
@@ -184,21 +204,18 @@ def recommend_all(
 ) -> DataFrame:
     """Ranked categories for every customer: customer, category, rank, affinity, score, explain.
 
-    ``explain`` is the mean similarity of the category to the customer's
-    basket. Customers meet their unit's list by a join on the basket; a basket
-    shared by very many customers is split by AQE on the customer side.
+    ``explain`` is the mean similarity of the category to the customer's basket.
     """
     units = basket_units(baskets)
-    lists = (
+    lists = stage(
         rank_units(units, similarity, popular, [variant], k)
         .groupBy("unit_id")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "category", "affinity", "score"))).alias("recs"))
-        .join(units.select("unit_id", "cats"), "unit_id")
-        .select("cats", "recs")
+        .join(units, "unit_id")
+        .select("cats", "customers", "recs")
     )
     return (
-        baskets.select("customer_unique_id", F.sort_array("cats").alias("cats"))
-        .join(lists, "cats")
+        attach_to_customers(baskets, lists)
         .select("customer_unique_id", F.size("cats").alias("n_cats"), F.inline("recs"))
         .select(
             "customer_unique_id",

@@ -11,6 +11,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,17 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def present(self) -> bool:
+        """Whether the staged tables built so far still exist (the shared folder may be cleaned)."""
+        built = [v for v in vars(self).values() if isinstance(v, DataFrame) and v.inputFiles()]
+        try:
+            for table in built:
+                folder = table.inputFiles()[0].rsplit("/", 1)[0]
+                self.spark.read.schema(table.schema).parquet(folder)
+        except AnalysisException:
+            return False
+        return True
+
     def folder(self, name: str) -> str:
         """A new folder in the shared checkpoint folder."""
         return f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
@@ -126,13 +138,13 @@ class Tables:
         return stage(tune.search_table(self.baskets, self.popular, tune.grid_params(tune.GRID)))
 
 
-_BUILT: dict[tuple[str, str], Tables] = {}
+_BUILT: dict[tuple[str, str, str], Tables] = {}
 
 
 def tables_of(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _BUILT:
-        _BUILT[key] = Tables(spark, key[1])
+    key = (spark.sparkContext.applicationId, ensure_checkpoint_dir(spark), sf_dir.rstrip("/"))
+    if key not in _BUILT or not _BUILT[key].present():
+        _BUILT[key] = Tables(spark, key[-1])
     return _BUILT[key]
 
 

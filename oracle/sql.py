@@ -55,7 +55,7 @@ t_products AS (
     product_weight_g, product_photos_qty
   FROM (SELECT CAST(p_partkey AS VARCHAR) AS product_id,
           CASE WHEN p_partkey % 97 <> 0 THEN replace(p_name, ' ', '_') END AS product_category_name,
-          p_size * 100.0 AS product_weight_g, p_partkey % 5 + 1 AS product_photos_qty
+          CAST(p_size * 100.0 AS DOUBLE) AS product_weight_g, p_partkey % 5 + 1 AS product_photos_qty
         FROM part) p
   LEFT JOIN t_map m ON m.product_category_name = p.product_category_name),
 t_reviews AS (
