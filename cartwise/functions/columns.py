@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICROS_PER_DAY = 86_400_000_000
@@ -56,3 +56,10 @@ def share(condition: Column) -> Column:
 def score_key(score: Column) -> Column:
     """Score on a 1e-10 grid, so that summation order cannot flip a ranking."""
     return F.floor(score * F.lit(1e10) + F.lit(0.5))
+
+
+def with_known(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows where all columns are present, as plain IS NOT NULL tests that reach the Parquet scan."""
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df

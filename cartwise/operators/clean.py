@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.functions.columns import with_known
 from cartwise.operators.quantiles import exact_quantiles
 from cartwise.session import stage
 
@@ -14,7 +15,7 @@ EXCLUDED_STATUS = ["canceled", "unavailable", "created"]
 
 def eligible_rows(master: DataFrame) -> DataFrame:
     """Rows with category and customer whose order was not called off (NULL status stays)."""
-    return master.dropna(subset=["category_en", "customer_unique_id"]).where(
+    return with_known(master, "category_en", "customer_unique_id").where(
         ~F.coalesce(F.col("order_status").isin(EXCLUDED_STATUS), F.lit(False))
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.functions.columns import with_known
 from cartwise.operators.features import purchase_order
 from cartwise.session import stage
 
@@ -14,7 +15,7 @@ KEYS = ["customer_unique_id", "category_en"]
 def user_item(master: DataFrame) -> DataFrame:
     """Per customer and category: distinct orders, spend, mean review and delivery days."""
     return (
-        master.dropna(subset=KEYS)
+        with_known(master, *KEYS)
         .groupBy(*KEYS)
         .agg(
             F.count_distinct("order_id").alias("purchase_count"),
@@ -28,7 +29,7 @@ def user_item(master: DataFrame) -> DataFrame:
 def interactions(master: DataFrame) -> DataFrame:
     """Distinct orders per customer and category (the long form of the matrix)."""
     return (
-        master.dropna(subset=KEYS)
+        with_known(master, *KEYS)
         .groupBy(F.col(KEYS[0]).alias("user"), F.col(KEYS[1]).alias("category"))
         .agg(F.count_distinct("order_id").alias("interactions"))
     )
@@ -97,7 +98,7 @@ def ranked_popularity(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def first_purchases(master: DataFrame) -> DataFrame:
     """Per customer and category: first row of that category, item rows, distinct orders."""
     return (
-        master.dropna(subset=KEYS)
+        with_known(master, *KEYS)
         .groupBy(*KEYS)
         .agg(
             F.min(purchase_order()).alias("first"),
@@ -155,7 +156,7 @@ def history_rows(master: DataFrame) -> DataFrame:
     inside each range and shifted by the customer's earlier ranges, so a
     customer holding a large share of all rows is spread over many tasks.
     """
-    rows = master.dropna(subset=KEYS).select(*KEYS, purchase_order().alias("place"))
+    rows = with_known(master, *KEYS).select(*KEYS, purchase_order().alias("place"))
     ranged = stage(  # the ranges come from a sample and must be drawn only once
         rows.repartitionByRange("customer_unique_id", "place").withColumn(
             "part", F.spark_partition_id()

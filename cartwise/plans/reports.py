@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.functions.columns import equal_width_bin, right_closed_label
+from cartwise.functions.columns import equal_width_bin, right_closed_label, with_known
 from cartwise.operators.features import SEGMENTS
 from cartwise.operators.interactions import popularity
 from cartwise.operators.quantiles import exact_quantiles
@@ -27,7 +27,7 @@ def orders_by_month(master: DataFrame) -> DataFrame:
 
 def orders_by_review_score(master: DataFrame) -> DataFrame:
     return (
-        master.dropna(subset=["review_score"])
+        with_known(master, "review_score")
         .groupBy("review_score")
         .agg(F.count_distinct("order_id").alias("orders"))
     )
