@@ -9,17 +9,21 @@ small factor matrix sent to the tasks.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.operators.cooccurrence import gram
 from cartwise.session import stage
 
+# The small helpers below run in Python workers, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Categories up to which a Gram matrix (8 bytes per pair: 32 MB) may sit in one task.
 DENSE_CATEGORIES = 2_000
 # Rows of a factor matrix (at most some 40 doubles each) that may be sent to the tasks.
