@@ -105,7 +105,9 @@ def find_matches(rows: DataFrame, windows: DataFrame, slop: int = 0, size: int =
     exact = exact.where("start >= 0")
     # Word by word: the candidates of a document meet its words once.
     cands = exact.groupBy("_row").agg(F.collect_list(F.struct("win", "start")).alias("c"))
-    texts = cands.join(rows.select("_row", "w"), "_row")
+    # Only documents with a candidate are moved: up to a checked number their rows are told to all scans.
+    cands = stage(cands)
+    texts = rows.select("_row", "w").join(small_side(cands.select("_row")), "_row", "left_semi").join(cands, "_row")
     shown = F.transform("c", lambda c: F.struct(c["win"], c["start"], F.slice("w", c["start"] + 1, F.lit(size)).alias("shown")))
     held = texts.select("_row", F.explode(shown).alias("c")).select("_row", "c.*")
     shown = held.join(small_side(lookups.select("win", "window")), "win")
