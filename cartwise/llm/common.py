@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.session import stage
@@ -45,3 +45,16 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
 def training_row(doc_id: Column) -> Column:
     """Rows that models may learn from: CRC-32 of the id's text, modulo 4, is not 2."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 != 2
+
+
+BATCH_ROWS = 256  # rows of whole texts that a Python worker gets at once
+
+
+def bounded_batches() -> None:
+    """Hand whole texts to Python in batches that fit beside the executor's heap.
+
+    Sets the session's Arrow batch size unless it is below already.
+    """
+    conf, key = SparkSession.active().conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))

@@ -17,6 +17,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.common import bounded_batches
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1024  # bytes that are compressed at once, so that the dictionary counts
@@ -137,6 +139,7 @@ def savings(model: CompressionModel, text: Column) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([model.saving(t) for t in texts], dtype=float)
 
+    bounded_batches()
     return run(text)
 
 
@@ -147,4 +150,5 @@ def scores(model: CompressionModel, text: Column) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score(t) for t in texts], dtype=float)
 
+    bounded_batches()
     return run(text)

@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.common import bounded_batches
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RADIUS = 2  # leaves on each side that are smoothed over
@@ -201,5 +203,6 @@ def extract_text(pages: DataFrame, keep: tuple[str, ...], markup: str) -> DataFr
     def text(found: pd.Series) -> pd.Series:
         return pd.Series([main_text(p) for p in found], dtype=object)
 
+    bounded_batches()
     rows = pages.select(*keep, text(F.col(markup)).alias("text"))
     return rows.select(*keep, "text", F.length("text").cast("long").alias("n_chars"))

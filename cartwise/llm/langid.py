@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.llm.common import bounded_batches
 from cartwise.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -79,6 +80,7 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 n = np.bincount(where, np.concatenate([n for _, n in total[0]])).astype(np.int64)
                 yield pd.DataFrame({"lang": name, "gram": grams.view(np.int64), "n": n})
 
+    bounded_batches()
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     counted = rows.mapInPandas(work, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -158,4 +160,5 @@ def predictions(model: LanguageFilter, text: Column) -> Column:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
 
+    bounded_batches()
     return predict(text)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.llm import tokens
+from cartwise.llm.common import bounded_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -194,6 +195,7 @@ def pack_documents(
         if out:
             yield frame()
 
+    bounded_batches()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInPandas(pack, PIECES)
 

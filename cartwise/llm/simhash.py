@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.common import bounded_batches
 from cartwise.llm.components import connected_components
 from cartwise.session import stage
 
@@ -54,6 +55,7 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
         raw = [simhash(t.encode("utf-8", "surrogatepass") if t else b"", shingle) for t in texts]
         return pd.Series(np.array(raw, np.uint64).view(np.int64))
 
+    bounded_batches()
     return fp(text)
 
 

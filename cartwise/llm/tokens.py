@@ -25,7 +25,7 @@ _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 # The words that the tokenizer file's own pattern finds, for those characters.
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 _LONGEST = 48  # bytes of a word that is merged here; longer ones go to the library
-_MOST_WORDS = 700_000  # words remembered by one task
+_MOST_WORDS = 400_000  # words remembered by one task
 
 
 class Encoder:
