@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.session import stage
+from cartwise.session import stage, unstage
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -32,7 +32,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, now = now, stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        unstage(last, large)
         before, seen = seen, _signature(now)
         if before == seen:
             break
