@@ -42,6 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+# Folders that stage() has written in this process and that still exist, in order.
+STAGED: list[str] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once into a Parquet table in the shared folder and read it back.
 
@@ -53,18 +57,48 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    STAGED.append(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete tables that ``stage`` returned and that no later query reads."""
+    for df in staged:
+        _delete(df.sparkSession, [df._staged_path])
+
+
+def release(spark: SparkSession, start: int = 0, end: int | None = None) -> None:
+    """Delete what ``STAGED`` lists from ``start`` to ``end``: all of it when a job ends."""
+    _delete(spark, STAGED[start:end])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        if path in STAGED:
+            STAGED.remove(path)
 
 
-# Rows of a staged model table (a few short columns each) that may be broadcast.
+# Rows and bytes of a staged table (a few short columns each) that may be broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
-def small_side(staged: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the staged table is measured to be small (a footer count).
+def small_side(staged: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the staged table is measured to be small: by its rows, and by rows times their width.
 
     The hint is needed where the other side has few rows that are exploded just
     before the join: by its file size Spark would broadcast that side instead.
-    Above the limit Spark shuffles both sides and AQE splits hot partitions.
+    Above either limit Spark shuffles both sides and AQE splits hot partitions.
+    Widths of strings and arrays are taken from all rows.
     """
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    wide = [c for c, kind in staged.dtypes if kind == "string" or kind.startswith(("array", "map", "struct", "binary"))]
+    width = F.lit(16 * len(staged.columns))
+    for c in wide:
+        width = width + F.coalesce(F.length(F.col(c).cast("string")), F.lit(0))
+    rows, size = staged.agg(F.count("*"), F.sum(width)).first()
+    return F.broadcast(staged) if rows <= max_rows and (size or 0) <= max_bytes else staged
