@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.llm import tokens
-from cartwise.llm.common import bounded_batches
+from cartwise.llm.common import bounded_batches, hand_back_memory
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -28,7 +28,7 @@ LENGTH = 2048
 SEGMENTS = 32
 END = 1  # id that closes a document
 POOL = 256  # examples that wait in a task for a place; a full pool closes sequences
-_BATCH_BYTES = 4 << 20  # text that is encoded at once
+_BATCH_BYTES = 2 << 20  # text that is encoded at once
 
 
 class Packer:
@@ -120,7 +120,6 @@ PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "padding long, ids array<int>"
 )
-_encoder: dict = {}  # one for each worker process
 
 
 def pack_documents(
@@ -142,9 +141,7 @@ def pack_documents(
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if vocabulary not in _encoder:
-            _encoder[vocabulary] = tokens.Encoder(vocabulary)
-        encoder = _encoder[vocabulary]
+        encoder = tokens.Encoder(vocabulary)
         base = TaskContext.get().partitionId() << 32
         packer = Packer(length, segments, length)
         held: dict[int, tuple] = {}  # ids of documents that still have tokens to place
@@ -194,6 +191,8 @@ def pack_documents(
             close()
         if out:
             yield frame()
+        del encoder, held
+        hand_back_memory()
 
     bounded_batches()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
