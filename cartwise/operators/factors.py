@@ -10,6 +10,7 @@ small factor matrix sent to the tasks.
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -120,7 +121,14 @@ def _distributed_factors(products: DataFrame, n_components: int) -> DataFrame:
     sigma = [float(np.sqrt(max(v, 0.0))) for v in svd.s.toArray()]
     # The Gram matrix is symmetric, so the rows of U are the category factors.
     factors = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    frame = spark.createDataFrame(factors, "at int, factors array<double>")
+    frame = stage(spark.createDataFrame(factors, "at int, factors array<double>"))
+    # As in _leading: the largest loading of each factor is positive, the first one if several are.
+    peaks = [
+        F.max(F.struct(F.abs(F.col("factors")[i]), -F.col("at"), F.col("factors")[i].alias("value")))["value"].alias(f"p{i}")
+        for i in range(len(sigma))
+    ]
+    signs = [-1.0 if (peak or 0.0) < 0 else 1.0 for peak in frame.agg(*peaks).first()]
+    frame = frame.select("at", F.array(*(F.col("factors")[i] * s for i, s in enumerate(signs))).alias("factors"))
     return frame.join(numbered, "at").select(
         "category_en", "factors", F.array(*(F.lit(s) for s in sigma)).alias("sigma")
     )
@@ -312,7 +320,7 @@ def _solve_rows(
 def nmf_factors(
     baskets: DataFrame,
     n_components: int = 15,
-    rounds: int = 60,
+    rounds: int = 300,
     inner: int = 20,
     tolerance: float = 1e-4,
 ) -> tuple[DataFrame, list[float]]:
@@ -324,7 +332,8 @@ def nmf_factors(
     sums (k x categories and k x k) update H by multiplicative steps. No row
     state is kept, so a lost executor costs one round. H starts from the
     leading absolute singular vectors; the rounds end when the error falls by
-    less than ``tolerance`` of its first value.
+    less than ``tolerance`` of its first value. As many errors as ``rounds``
+    mean that it had not converged by then; that is warned of.
     """
     start = stage(category_factors(stage(gram(baskets)), n_components))
     if start.count() > FACTOR_ROWS:
@@ -338,14 +347,16 @@ def nmf_factors(
     rows = _numbered_rows(baskets, cats)
     errors: list[float] = []
     for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(h)
         sums = (
-            rows.mapInPandas(_nmf_part(spark.sparkContext.broadcast(h), inner), "at int, value double")
+            rows.mapInPandas(_nmf_part(shared, inner), "at int, value double")
             .groupBy("at")
             .agg(F.sum("value").alias("value"))
             .orderBy("at")
             .toPandas()["value"]
             .to_numpy()
         )
+        shared.unpersist()
         wx, ww = sums[: h.size].reshape(h.shape), sums[h.size : -1].reshape(k, k)
         errors.append(float(sums[-1]))
         if len(errors) > 1 and errors[-2] - errors[-1] < tolerance * errors[0]:
@@ -353,6 +364,8 @@ def nmf_factors(
         for _ in range(inner):
             h = h * wx / np.maximum(ww @ h, 1e-12)
         h = np.maximum(h, 1e-12)
+    else:
+        warnings.warn(f"NMF had not converged after {rounds} rounds", stacklevel=2)
     frame = spark.createDataFrame(
         pd.DataFrame({"category_en": cats, "factors": [list(map(float, c)) for c in h.T]}),
         "category_en string, factors array<double>",

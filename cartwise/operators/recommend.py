@@ -93,6 +93,22 @@ def model_links(
     return stage(links)
 
 
+def _reach(
+    similarity: DataFrame | None, popular: DataFrame, variants: Sequence[Variant], weights: Sequence[str], k: int
+) -> int:
+    """How many popular categories beside the basket's own are candidates of a unit.
+
+    Where no score is negative and categories without a score are filled by
+    popularity, the first ``k`` are enough. Otherwise a category of score 0 may
+    rank before a linked one, or by its name, so every category is a candidate.
+    """
+    every = any(v.keep_all for v in variants)
+    if not every and similarity is not None and weights:
+        below = F.least(F.lit(0.0), *(F.col(w).cast("double") for w in weights))
+        every = (similarity.agg(F.min(below)).first()[0] or 0.0) < 0
+    return max(k, popular.agg(F.max("rank")).first()[0] or 0) if every else k
+
+
 def rank_units(
     units: DataFrame,
     similarity: DataFrame | None,
@@ -112,6 +128,7 @@ def rank_units(
     by, carry = list(by), list(carry)
     weights = sorted({v.weight for v in variants if v.weight})
     links = model_links(similarity, popular, weights, by)
+    reach = _reach(similarity, popular, variants, weights, k)
     popular = stage(
         popular.select(
             *by,
@@ -123,7 +140,7 @@ def rank_units(
     keys = F.concat(
         F.transform("cats", lambda c: F.concat(F.lit("c:"), c)),
         F.transform(
-            F.sequence(F.lit(1), F.size("cats") + k),
+            F.sequence(F.lit(1), F.size("cats") + reach),
             lambda r: F.concat(F.lit("r:"), r.cast("string")),
         ),
     )

@@ -47,7 +47,11 @@ def split_summary(
         return F.date_format(F.add_months(F.to_date(F.lit(f"{month}-01")), 1), "yyyy-MM")
 
     is_split = F.col("split")
-    return months.join(volumes, "split").select(
+    # The three periods, listed also when nothing falls into one.
+    periods = split.sparkSession.createDataFrame([("train",), ("val",), ("backtest",)], "split string")
+    found = F.broadcast(periods).join(months.join(volumes, "split"), "split", "left")
+    found = found.fillna(0, ["months", "orders", "customers"])
+    return found.select(
         "split",
         F.when(is_split == "val", after(train_end))
         .when(is_split == "backtest", after(validation_end))

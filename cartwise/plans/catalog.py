@@ -542,8 +542,11 @@ def conditional_search(t: Tables) -> DataFrame:
 
 @query
 def tuning_winner(t: Tables) -> DataFrame:
-    other = tune.search_table(t.baskets, t.popular, tune.random_params(tune.RANDOM_SPACE, 4))
-    return tune.tuning_winner({"GridSearchCV": t.grid, "RandomSearch": stage(other)})
+    drawn = tune.search_table(t.baskets, t.popular, tune.random_params(tune.RANDOM_SPACE, 8))
+    conditional = tune.search_table(t.baskets, t.popular, tune.conditional_params(20))
+    return tune.tuning_winner(
+        {"GridSearchCV": t.grid, "RandomSearch": stage(drawn), "ConditionalSearch": stage(conditional)}
+    )
 
 
 @query
@@ -590,7 +593,9 @@ def monthly_retrain_log(t: Tables) -> DataFrame:
     """One retraining run with a cut-off, exported, logged and read back."""
     folder = t.folder("models")
     params = {"method": "hybrid", "alpha": 1.0, "min_support": 10}
-    retrain.monthly_retrain(t.sources, params, folder, VALIDATION_END, version="20000630_0000")
+    retrain.monthly_retrain(
+        t.sources, params, folder, VALIDATION_END, cutoff="before", version="20000630_0000"
+    )
     log = model_store.read_log(t.spark, folder)
     return rounded(log, **MEASURES)
 

@@ -13,7 +13,7 @@ from cartwise.operators.quantiles import exact_quantiles
 # Month labels of the demand table.
 MONTHS = ["Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic"]
 # Customer groups by number of categories.
-DIVERSITY_EDGES = [0, 1, 2, 5, 100]
+DIVERSITY_EDGES = [0, 1, 2, 5, float("inf")]
 DIVERSITY_LABELS = ["1 categoría", "2 categorías", "3-5 categorías", "6+ categorías"]
 
 

@@ -30,19 +30,19 @@ def monthly_retrain(
     params: dict,
     model_dir: str,
     cutoff_ym: str | None = None,
-    cutoff: str = "before",
+    cutoff: str = "after",
     version: str | None = None,
     k: int = 10,
 ) -> str:
     """Rebuild, clean, fit, evaluate, export and log one model version; returns the version.
 
-    The cut-off applies before cleaning, so later months cannot influence
-    medians and the price cap; ``cutoff="after"`` applies it to the cleaned
-    table instead.
+    The cut-off applies to the cleaned table. With ``cutoff="before"`` it
+    applies before cleaning, so that later months cannot influence medians and
+    the price cap.
     """
     if cutoff not in ("before", "after"):
         raise ValueError("cutoff must be 'before' or 'after'")
-    version = version or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M")
+    version = version or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
     master = build_master(sources)
     if cutoff_ym and cutoff == "before":
         master = master.where(F.col("order_ym") <= cutoff_ym)
@@ -149,7 +149,7 @@ def selection_run(
         ),
     }
     if model_dir:
-        version = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M")
+        version = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
         found["path"] = export_model(model, loo, model_dir, version)
         append_log(model, loo, model_dir, version, None)
     return found

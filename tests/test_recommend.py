@@ -217,3 +217,14 @@ def test_searches_are_seeded_and_distinct():
 def test_unknown_method_is_refused(spark):
     with pytest.raises(ValueError, match="unknown method"):
         fit(master(spark, [{}]), {"method": "magic"})
+
+
+@pytest.mark.parametrize("variant", [Variant("svd", "sim", keep_all=True), Variant("hybrid", "sim", 0.9)])
+def test_a_category_without_similarity_outranks_a_negative_one(spark, variant):
+    baskets = spark.createDataFrame([("u", ["a1"])], "customer_unique_id string, cats array<string>")
+    similarity = spark.createDataFrame(
+        [("a1", "a1", 1.0), ("a1", "a2", -0.5), ("a2", "a1", -0.5), ("a1", "z", 0.0)], "cat_a string, cat_b string, sim double"
+    )
+    popular = spark.createDataFrame([("a1", 1, 1.0), ("a2", 2, 0.5), ("z", 3, 0.1)], "category_en string, rank int, pop_score double")
+    (row,) = recommend_all(baskets, similarity, popular, variant, k=1).collect()
+    assert row["category"] == "z"

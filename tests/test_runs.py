@@ -2,7 +2,7 @@ import datetime
 import random
 
 import pytest
-from conftest import master, sources
+from conftest import master, sources, ts
 from test_recommend import naive_fit, naive_loo
 
 from cartwise.operators import evolution, splits
@@ -136,3 +136,17 @@ def test_feature_and_selection_runs(spark, tmp_path):
     assert picked["backtest"].count() == 1 and picked["cross_validation"].count() == 2
     assert picked["families"].count() == 5 and picked["factor_importance"].count() == 7
     assert model_store.load_model(spark, str(tmp_path / "m")).params["method"] == "hybrid"
+
+
+def test_split_summary_lists_empty_periods(spark):
+    rows = [{"order_purchase_timestamp": ts("2017-01-05")}, {"order_purchase_timestamp": ts("2018-05-05")}]
+    got = {r["split"]: r for r in splits.split_summary(splits.with_split(master(spark, rows))).collect()}
+    assert set(got) == {"train", "val", "backtest"} and (got["val"]["months"], got["val"]["orders"]) == (0, 0)
+
+
+def test_widest_customers_have_a_segment(spark):
+    from cartwise.plans import reports
+
+    wide = spark.createDataFrame([(101,), (6,), (1,)], "n_categories int")
+    got = {r["segment"]: r["customers"] for r in reports.diversity_segments(wide).collect()}
+    assert got == {"6+ categorías": 2, "1 categoría": 1}
