@@ -6,6 +6,7 @@ import ctypes
 import gc
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def bounded_batches() -> None:
 def hand_back_memory() -> None:
     """Return what a finished task has freed to the system: workers live on beside the executor's heap."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are staged.
+
+    It does so only once the driver has collected what refers to them, which
+    by itself may come long after a large shuffle.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

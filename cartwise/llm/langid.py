@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import bounded_batches
+from cartwise.llm.common import bounded_batches, hand_back_memory
 from cartwise.session import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -157,8 +157,10 @@ def predictions(model: LanguageFilter, text: Column) -> Column:
     """struct(lang, score) of whole texts."""
 
     @F.pandas_udf("lang string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
+        hand_back_memory()
 
     bounded_batches()
     return predict(text)

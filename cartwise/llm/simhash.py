@@ -11,6 +11,7 @@ bit; longer chains are tested before the full distance.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import bounded_batches
+from cartwise.llm.common import bounded_batches, hand_back_memory
 from cartwise.llm.components import connected_components
 from cartwise.session import stage
 
@@ -51,9 +52,11 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     """SimHash of whole texts as signed 64-bit numbers; null counts as empty, whose fingerprint is 0."""
 
     @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        raw = [simhash(t.encode("utf-8", "surrogatepass") if t else b"", shingle) for t in texts]
-        return pd.Series(np.array(raw, np.uint64).view(np.int64))
+    def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            raw = [simhash(t.encode("utf-8", "surrogatepass") if t else b"", shingle) for t in texts]
+            yield pd.Series(np.array(raw, np.uint64).view(np.int64))
+        hand_back_memory()
 
     bounded_batches()
     return fp(text)
