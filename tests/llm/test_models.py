@@ -271,6 +271,42 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark):
     assert passages.document_passages(table(spark, texts[-3:]), "doc_id", "text").collect() == []
 
 
+def test_passage_with_a_line_that_stands_earlier_too(spark):
+    rng = random.Random(9)
+    text = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    line, shared = text(7), text(60)
+    shared[25:32] = line
+    rows = {1: text(100) + shared + text(80), 2: text(30) + line + text(50) + shared + text(90)}
+    rows[3] = text(20) + line + text(40) + line + shared + text(10)
+    body = {i: " ".join(w) for i, w in rows.items()}
+    packed = passages.packed_texts(spark.createDataFrame(list(body.items()), "t long, text string"))
+    other = packed.selectExpr("t AS c", "text AS other")
+    out = passages.verify(packed.crossJoin(other).where("t <> c"), passages.LENGTH).collect()
+    begin = {1: 100, 2: 87, 3: 74}
+    assert sorted((r.t, r.c) for r in out) == [(a, b) for a in rows for b in rows if a != b]
+    for r in out:
+        assert r.start <= begin[r.t] and r.end >= begin[r.t] + 60 and r.of_start <= begin[r.c] and r.similarity >= 0.8
+    found = passages.document_passages(table(spark, list(body.items())), "doc_id", "text").collect()
+    assert len({r.doc_id for r in found}) == 2
+
+
+def test_matching_names_all_exact_passages_of_texts_that_repeat_themselves():
+    rng = random.Random(1)
+    width = passages.LENGTH - passages.SHINGLE + 1
+    look = lambda ws: passages._Looked(passages.shingles(passages.hash_words(" ".join(ws).encode())[0]), passages._least_run(width, 0.8))
+    for vocabulary in (2, 3, 5, 20, 200) * 20:
+        known = [f"w{i}" for i in range(vocabulary)]
+        a, b, same = (rng.choices(known, k=rng.randint(50, 160)) for _ in range(3))
+        a[20:20], b[40:40] = same, same
+        covered, runs = set(), {tuple(b[i : i + 50]) for i in range(len(b) - 49)}
+        for start, end, lo, hi, value in passages._stretches(look(a), look(b), width, 0.8):
+            x, y = ({tuple(t[i : i + 5]) for i in range(*at)} for t, at in ((a, (start, end)), (b, (lo, hi))))
+            assert abs(len(x & y) / len(x | y) - value) < 1e-9 and value >= 0.8 and min(end - start, hi - lo) >= width
+            covered.update(range(start, end + 4))
+        for i in range(len(a) - 49):
+            assert tuple(a[i : i + 50]) not in runs or covered.issuperset(range(i, i + 50))
+
+
 def test_removed_passages_stay_once(spark):
     texts, hit, (shared, _, short) = passage_table(spark)
     docs = table(spark, texts).selectExpr("doc_id", "text", "monotonically_increasing_id() AS _row", "1 AS extra")
