@@ -180,12 +180,7 @@ def main_text(page: str | None) -> str:
     np.maximum.at(value, at, np.where(menu[at], 0.0, fused))
     typical = (value[at] * size).sum() / size.sum()
     good = (value >= SHARE * typical) & ~menu
-    tops = {f.rsplit("/article", 1)[0] + "/article" for f in paths if "/article" in f and good[paths[f]]}
     keep = good[at]
-    if len(tops) == 1:
-        # The page names its article: nothing of it is dropped but menus, nothing else is kept.
-        (top,) = tops
-        keep = np.array([f[0].startswith(top) and not menu[i] for f, i in zip(found, at, strict=True)])
     if not keep.any():
         keep = ~menu[at] if (~menu).any() else np.ones(len(found), bool)
     return "\n\n".join(f[1] for f, k in zip(found, keep, strict=True) if k)

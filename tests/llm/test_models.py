@@ -209,6 +209,19 @@ def test_page_text_of_the_given_pages(spark):
         assert r.text == "\n\n".join(" ".join(b.split()) for b in blocks if b.strip())
 
 
+def test_page_text_is_chosen_by_ratios_not_by_the_article_tag(spark):
+    import re
+
+    body = [f"Paragraph {i} of the page, with some words; and some more of them, too. It ends here." for i in range(6)]
+    teaser = "Another story, told at some length; read it on the next page, please."
+    page = "<body><div id=content>" + "".join(f"<p>{b}</p>" for b in body) + f"</div><article><p>{teaser}</p></article></body>"
+    assert all(b in html_text.main_text(page).split("\n\n") for b in body)
+    halves = "<article>" + "".join(f"<p>{b}</p>" for b in body[:3]) + "</article><section>" + "".join(f"<p>{b}</p>" for b in body[3:]) + "</section>"
+    assert html_text.main_text(halves).split("\n\n") == body
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        assert html_text.main_text(re.sub(r"(</?)article>", r"\1div>", r.html)) == html_text.main_text(r.html)
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     out = queries.op9_compression_quality(spark, sf).toPandas()
