@@ -7,8 +7,9 @@ rarest words), must hold enough template words at all (*length*), and must
 still have enough words left behind the first shared one (*position*). Only
 pairs that pass all three are counted out; the result is exact.
 
-Blocks are the lines of a document for license sentences, and the whole
-document for the base phrases, whose words may stand on two lines.
+Blocks are the lines of a document for license sentences, and windows of as
+many words as a sentence has where it is wrapped over lines; for the base
+phrases, whose words may stand on two lines, the whole document.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from cartwise.session import stage
 
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-# Sentences that mark a license; a line holding most of their words is marked.
+# Sentences that mark a license; a line holding most of their words is marked, and lines over which one is wrapped.
 TEMPLATES = {
     "mit-notice": "released under the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software",
@@ -77,6 +78,50 @@ def similar(block: Column, templates: dict[str, str], order: list[str], threshol
     return F.filter(F.array(*found), lambda t: t["share"].isNotNull())
 
 
+def wrapped(spots: Column, hits: Column, templates: dict[str, str], threshold: float) -> Column:
+    """Templates that stand across line breaks: an array of (line, template, share), the line being the first.
+
+    ``spots`` are the places (pos, line, word) of all template words in order.
+    A window has as many words as the sentence and begins at one of its
+    words. Lines that are themselves in ``hits`` with the template are not named again.
+    """
+    return F.concat(*(_wrapped(spots, hits, name, sentence, threshold) for name, sentence in sorted(templates.items())))
+
+
+def _wrapped(spots: Column, hits: Column, name: str, sentence: str, threshold: float) -> Column:
+    n, tokens = len(sentence.split()), sorted(set(sentence.split()))
+    need = math.ceil(threshold * len(tokens) - 1e-9)
+    own = F.filter(spots, lambda s: F.array_contains(_texts(tokens), s["word"]))
+    known = F.transform(F.filter(hits, lambda h: h["template"] == name), lambda h: h["line"])
+
+    def fresh(b: Column) -> Column:
+        """Windows (line, last line, distinct words) over several lines that hold enough, none of whose lines is known."""
+
+        def window(s: Column, k: Column) -> Column:
+            inside = F.filter(F.slice(b["own"], k + 1, n), lambda x: x["pos"] < s["pos"] + n)
+            last, held = F.element_at(inside, -1)["line"], F.size(F.array_distinct(F.transform(inside, lambda x: x["word"])))
+            return F.struct(s["line"].alias("line"), last.alias("last"), held.alias("held"))
+
+        def counts(w: Column) -> Column:
+            return (w["last"] > w["line"]) & (w["held"] >= need) & ~F.exists(b["known"], lambda i: i.between(w["line"], w["last"]))
+
+        return F.filter(F.transform(b["own"], window), counts)
+
+    def best(found: Column) -> Column:
+        """One entry for each line, with its largest share."""
+
+        def entry(line: Column) -> Column:
+            held = F.array_max(F.transform(F.filter(found, lambda w: w["line"] == line), lambda w: w["held"]))
+            return F.struct(line.alias("line"), F.lit(name).alias("template"), (held / F.lit(float(len(tokens)))).alias("share"))
+
+        return F.transform(F.array_distinct(F.transform(found, lambda w: w["line"])), entry)
+
+    # Arrays of one element bind what is used several times, so that it is worked out once.
+    bound = F.struct(own.alias("own"), known.alias("known"))
+    bound = F.filter(F.array(bound), lambda b: F.size(b["own"]) >= need)
+    return F.flatten(F.transform(F.transform(bound, fresh), best))
+
+
 def license_scan(
     docs: DataFrame, doc_id: str, text: str, templates: dict[str, str] | None = None, threshold: float = 0.8
 ) -> DataFrame:
@@ -87,7 +132,7 @@ def license_scan(
     base_labels and labels (sorted, distinct, comma-joined; empty if none),
     score (the largest share of a template's or phrase's words found in one
     block, 0 without a mark), matches (line number from 0, its text, template,
-    share). A null or empty text has no words and no marks; repeated rows give
+    share; of a sentence that is wrapped the line where it begins). A null or empty text has no words and no marks; repeated rows give
     repeated results; an empty table gives an empty result; further columns
     are ignored. ``labels`` holds the base labels and the names of matched templates.
     """
@@ -120,6 +165,8 @@ def license_scan(
         ),
     )
     rows = rows.withColumn("hits", F.flatten(hits))
+    rows = rows.withColumn("spots", _spots(F.col("lines"), vocabulary))
+    rows = rows.withColumn("hits", F.concat("hits", wrapped(F.col("spots"), F.col("hits"), templates, threshold)))
     matches = F.transform(
         "hits",
         lambda h: F.struct(
@@ -142,6 +189,13 @@ def license_scan(
     )
 
 
+def _spots(lines: Column, vocabulary: list[str]) -> Column:
+    """(pos, line, word) of all words of ``vocabulary`` in a text's lines; pos counts the words of the whole text."""
+    of_line = F.transform(lines, lambda x, i: F.transform(words(lower_az(x)), lambda w: F.struct(i.alias("line"), w.alias("word"))))
+    placed = F.transform(F.flatten(of_line), lambda w, i: F.struct(i.alias("pos"), w["line"].alias("line"), w["word"].alias("word")))
+    return F.filter(placed, lambda w: F.array_contains(_texts(vocabulary), w["word"]))
+
+
 def _places(words_col: Column, phrase: str, label: str) -> Column:
     """Starts (from 0) at which the phrase's words stand consecutively, with its label."""
     own = _texts(phrase.split())

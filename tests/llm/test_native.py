@@ -81,6 +81,26 @@ def test_license_phrases_anywhere_and_sentences_on_a_line(spark):
     assert len(out[6]) == 2
 
 
+def test_license_sentences_wrapped_over_lines(spark):
+    import textwrap
+
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    grant = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and"
+    texts = [(1, bsd), (2, grant), (3, "all words\nof these rights\nare reserved")]
+    names = sorted(license_scan.TEMPLATES)
+    for width in (18, 30, 72):
+        for i, name in enumerate(names):
+            body = "some words that fill the line before it " + license_scan.TEMPLATES[name] + " and what follows after it"
+            texts.append((100 * width + i, "\n * ".join(textwrap.wrap(body, width))))
+    out = {r.doc_id: r for r in license_scan.license_scan(docs(spark, texts), "doc_id", "text").collect()}
+    assert [(m.line, m.template) for m in out[1].matches] == [(0, "bsd")] and out[1].score == 1.0
+    assert [(m.line, m.template) for m in out[2].matches] == [(0, "mit-grant")]
+    assert (out[3].labels, out[3].score) == ("", 0.0)
+    for width in (18, 30, 72):
+        for i, name in enumerate(names):
+            assert name in out[100 * width + i].labels.split(",")
+
+
 def test_similarity_join_equals_counting_out(spark):
     rng = random.Random(1)
     vocabulary = sorted({w for s in license_scan.TEMPLATES.values() for w in s.split()})
