@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import free_name
+from cartwise.llm.common import free_name, numbered
 from cartwise.session import stage
 
 BITS = 63  # prefixes are kept as non-negative longs: 32 key bits, 31 row bits
@@ -86,13 +86,33 @@ def assign_shards(rows: DataFrame, key: str, text: str, limit: int, keep: tuple[
     )
 
 
-def write_shards(rows: DataFrame, shards: DataFrame, key: str, path: str) -> None:
+def write_shards(rows: DataFrame, shards: DataFrame, key: str, path: str, row: str | None = None) -> None:
     """Write ``rows`` as one Parquet folder per shard; ``shards`` is the result of ``assign_shards``.
 
-    Rows are joined by ``key`` (null keys are equal) to their shard's name.
-    A key divided over several shards writes its rows to the first of them.
+    Rows are joined to their shard's name by ``row``, a stable row number that
+    ``rows`` and ``shards`` hold; it is written too. Without one they are
+    joined by ``key`` (null keys are equal), which is an error if a key is
+    divided over several shards: then only a number tells which row goes where.
     """
     folder, same = free_name(rows, "shard"), free_name(rows, "key")
-    where = shards.groupBy(F.col(key).alias(same)).agg(F.min("shard").alias(folder))
-    joined = rows.join(where, rows[key].eqNullSafe(where[same]), "left").drop(same)
+    if row is not None:
+        where = shards.select(F.col(row).alias(same), F.col("shard").alias(folder))
+        joined = rows.join(where, rows[row] == where[same], "left").drop(same)
+    else:
+        where = stage(shards.groupBy(F.col(key).alias(same)).agg(F.min("shard").alias(folder), F.max("shard").alias("_most")))
+        if not where.where(F.col(folder) != F.col("_most")).isEmpty():
+            raise ValueError("a key is divided over several shards: give the column of a row number, or use shard_table")
+        joined = rows.join(where.drop("_most"), rows[key].eqNullSafe(where[same]), "left").drop(same)
     joined.repartition(folder).write.partitionBy(folder).parquet(path)
+
+
+def shard_table(rows: DataFrame, key: str, text: str, limit: int, path: str) -> DataFrame:
+    """Assign ``rows`` to shards and write each row to its own; returns ``assign_shards`` with the row's number.
+
+    The number is a column ``row`` (or that name with underscores behind it).
+    """
+    row = free_name(rows, "row")
+    rows = numbered(rows, row)
+    shards = stage(assign_shards(rows, key, text, limit, (row,)))
+    write_shards(rows, shards, key, path, row)
+    return shards

@@ -4,6 +4,9 @@ import hashlib
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from cartwise.llm import decontaminate, license_scan, sharding
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -54,6 +57,18 @@ def test_written_shards_hold_every_row(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 40
 
 
+def test_written_shards_of_a_divided_key_keep_the_limit(spark, tmp_path):
+    table = docs(spark, [(i, "x" * 50) for i in range(40)] + [(7, "y" * 50)] * 60)
+    shards = sharding.shard_table(table, "doc_id", "text", 400, str(tmp_path / "out")).collect()
+    folder = F.regexp_extract(F.input_file_name(), "shard=([^/]*)", 1)
+    out = spark.read.parquet(str(tmp_path / "out")).groupBy(folder.alias("at")).agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n"))
+    written = {r["at"]: (r["size"], r["n"]) for r in out.collect()}
+    assert written == {r.shard: (r.shard_bytes, r.shard_rows) for r in shards}
+    assert sum(n for _, n in written.values()) == 100 and max(size for size, _ in written.values()) <= 400
+    with pytest.raises(ValueError):
+        sharding.write_shards(table, sharding.assign_shards(table, "doc_id", "text", 400), "doc_id", str(tmp_path / "no"))
+
+
 def test_license_phrases_anywhere_and_sentences_on_a_line(spark):
     texts = [
         (1, "Released under the MIT License. And the mit\nlicense again"),
