@@ -116,18 +116,23 @@ def find_matches(rows: DataFrame, windows: DataFrame, slop: int = 0, size: int =
     return exact if near is None else exact.unionByName(near)
 
 
-def decontaminate(rows: DataFrame, benchmark: DataFrame, item_id: str, text: str, size: int = WINDOW) -> DataFrame:
+def decontaminate(rows: DataFrame, benchmark: DataFrame, item_id: str, text: str, size: int = WINDOW, slop: int = 0) -> DataFrame:
     """Contamination of every row of ``word_rows``.
 
     Columns: _row, doc_id, n_words, n_hit (words inside any occurrence of a
     window), n_items, items_sha256 (of the sorted, comma-joined ids; of the
     empty text if none), contaminated. Null or empty texts have no words and
     no hits, repeated rows get equal results, an empty table or benchmark
-    gives no hits; repeated items count once by their id.
+    gives no hits; repeated items count once by their id. With ``slop`` > 0 there is
+    also n_near: places of windows of two words or more that are proximity
+    matches within ``slop`` words and no exact ones; the other columns stay those of exact phrases.
     """
     windows = stage(benchmark_windows(benchmark, item_id, text, size))
     by_window = windows.select("item_id", F.xxhash64("window").alias("win"), F.size("window").alias("len"))
-    found = stage(find_matches(rows, windows, 0, size).select("_row", "win", "start"))
+    matches = find_matches(rows, windows, slop, size)
+    if slop > 0:
+        matches = stage(matches)
+    found = stage(matches.where("gap = 0").select("_row", "win", "start"))
     spans = found.join(small_side(stage(by_window.select("win", "len").distinct())), "win")
     spans = spans.select("_row", "start", (F.col("start") + F.col("len")).alias("end")).distinct()
     hit = spans.select("_row", F.explode(F.sequence("start", F.col("end") - 1)).alias("at")).distinct()
@@ -137,7 +142,7 @@ def decontaminate(rows: DataFrame, benchmark: DataFrame, item_id: str, text: str
     items = items.groupBy("_row").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     joined = rows.select("_row", "doc_id", "n_words").join(hit.join(items, "_row"), "_row", "left")
     named = F.coalesce(F.array_join("items", ","), F.lit(""))
-    return joined.select(
+    result = joined.select(
         "_row",
         "doc_id",
         "n_words",
@@ -146,3 +151,9 @@ def decontaminate(rows: DataFrame, benchmark: DataFrame, item_id: str, text: str
         F.sha2(named.cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+    if slop <= 0:
+        return result
+    several = small_side(stage(by_window.where("len > 1").select("win").distinct()))
+    near = matches.where("gap > 0").join(several, "win").select("_row", "win", "start").distinct()
+    near = near.join(found, ["_row", "win", "start"], "left_anti").groupBy("_row").agg(F.count("*").alias("n_near"))
+    return result.join(near, "_row", "left").withColumn("n_near", F.coalesce("n_near", F.lit(0)).cast("long"))

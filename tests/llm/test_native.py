@@ -175,6 +175,17 @@ def test_proximity_matches_lie_within_the_slop(spark):
     assert {(by_doc[a], g) for a, g in found} == {(1, 2), (2, 0)}
 
 
+def test_decontamination_counts_proximity_matches_beside_exact_ones(spark):
+    texts = [(1, "q red x x blue"), (2, "red blue"), (3, "blue z z z z red"), (4, "green green green"), (5, None)]
+    rows = decontaminate.word_rows(docs(spark, texts), "doc_id", "text")
+    bench = spark.createDataFrame([(1, "red blue"), (2, "green")], "item_id long, text string")
+    plain = decontaminate.decontaminate(rows, bench, "item_id", "text")
+    near = decontaminate.decontaminate(rows, bench, "item_id", "text", slop=2)
+    assert near.columns == [*plain.columns, "n_near"]
+    assert {r.doc_id: r.n_near for r in near.collect()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
+    assert sorted(near.drop("n_near").collect(), key=str) == sorted(plain.collect(), key=str)
+
+
 def test_empty_tables(spark):
     none = docs(spark, [])
     rows = decontaminate.word_rows(none, "doc_id", "text")
