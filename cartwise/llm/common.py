@@ -5,8 +5,11 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +66,15 @@ def bounded_batches() -> None:
         conf.set(key, str(BATCH_ROWS))
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with at most about ``most`` bytes in a text column without nulls (a longer text alone)."""
+    block = pc.binary_length(batch[column]).to_numpy(zero_copy_only=False).cumsum(dtype=np.int64) // most
+    edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(batch)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def hand_back_memory() -> None:
     """Return what a finished task has freed to the system: workers live on beside the executor's heap."""
     gc.collect()

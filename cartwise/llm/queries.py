@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import (
-    compression, decontaminate, html_text, langid, lattice, license_scan, packing, passages, sharding, simhash,
+    burst_trie, compression, decontaminate, html_text, langid, lattice, license_scan, packing, passages, periodic,
+    sharding, simhash, token_store,
 )
 from cartwise.llm.common import training_row
-from cartwise.session import stage
+from cartwise.session import ensure_checkpoint_dir, stage
 
 SHARD_BYTES = 1 << 20
 
 
-def _vocabulary() -> str:
+def _vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +82,39 @@ def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.document_passages(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op11_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    docs = _table(spark, sf_dir, "documents")
+    token_store.write_token_shards(docs, "doc_id", "text", _vocabulary("byte_bpe_50k.json"), path)
+    read = token_store.read_token_shards(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    convs = burst_trie.with_shared_heads(burst_trie.conversations(turns, "conv_id", "turn", "role", "text"))
+    return burst_trie.with_hashes(burst_trie.prefix_trie(convs))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", periodic.with_repeats(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("text"))
+    found = periodic.find_runs(texts, "doc_id", "text")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("b", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("b.start").alias("start"),
+        F.col("b.length").alias("length"),
+        F.col("b.period").alias("period"),
+        F.floor(F.col("b.length") * 1000 / F.col("b.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,7 +126,8 @@ QUERIES = {
     for f in (
         op1_extendible_sharding, op2_license_scan, op3_vector_packing, op4_benchmark_decontamination,
         op5_simhash_pigeonring, op6_lattice_hashing, op7_language_bitmask, op8_tag_path_text,
-        op9_compression_quality, op10_compact_windows, pipeline,
+        op9_compression_quality, op10_compact_windows, op11_elias_fano_tokens, op12_burst_trie, op13_periodic_runs,
+        pipeline,
     )
 }
 
@@ -171,9 +208,45 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, c AS co
 FROM embeddings e JOIN (SELECT id, min(root) AS c FROM reach GROUP BY id) ON id = vec_id
 """
 
+# CRC-32 of a text of ASCII characters: the byte table follows from the polynomial.
+_CRC_TABLE = """(SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n)
+  FROM range(256) r(n))"""
+
+
+def _crc32(text: str, table: str) -> str:
+    bytes_ = f"list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda b: ascii(b)::BIGINT))"
+    return f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_OP12 = f"""
+WITH crc(bytes) AS (SELECT {_CRC_TABLE}),
+own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (SELECT conv_id, w, ({_crc32('conv_id::VARCHAR', 'bytes')} % 6)::INTEGER AS h FROM own, crc),
+conv AS (
+  SELECT a.conv_id, list_concat(coalesce(b.w[1:h], []), a.w[h + 1:]) AS w
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+member AS (SELECT conv_id, w[1:depth] AS path, depth, depth = len(w) AS here FROM (SELECT conv_id, w, unnest(range(len(w) + 1)) AS depth FROM conv)),
+node AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (here), '')) AS ends_sha256
+  FROM member GROUP BY path, depth),
+child AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (
+  SELECT node.*, coalesce(n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(path[depth].t) END AS saved
+  FROM node LEFT JOIN child USING (path)),
+below AS (
+  SELECT path[1:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT path, saved, n_children, unnest(range(depth + 1)) AS d FROM full_node) GROUP BY 1)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, a.ends_sha256
+FROM full_node a JOIN below USING (path) LEFT JOIN full_node p ON a.depth > 0 AND p.path = a.path[1:a.depth - 1]
+"""
+
 STATEMENTS = {
     "op1_extendible_sharding": _OP1,
     "op2_license_scan": _op2(),
     "op4_benchmark_decontamination": _OP4,
     "op6_lattice_hashing": _OP6,
+    "op12_burst_trie": _OP12,
 }
