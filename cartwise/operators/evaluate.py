@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.operators.recommend import Variant, attach_to_customers, basket_units, rank_units
+from cartwise.operators.recommend import Similarity, Variant, attach_to_customers, basket_units, rank_units
 from cartwise.session import small_side, stage
 
 
@@ -68,7 +68,7 @@ def popularity_at_k(
 
 def loo_metrics(
     units: DataFrame,
-    similarity: DataFrame | None,
+    similarity: Similarity,
     popular: DataFrame,
     variants: Sequence[Variant],
     k: int = 10,
@@ -129,7 +129,7 @@ def metric_rows(
 
 def raw_similarity_recall(
     units: DataFrame,
-    similarity: DataFrame,
+    similarity: Similarity,
     popular: DataFrame,
     ks: Sequence[int],
     weight: str = "sim",
@@ -182,7 +182,7 @@ def measures_at_k(
 
 def compare_models(
     units: DataFrame,
-    similarity: DataFrame,
+    similarity: Similarity,
     popular: DataFrame,
     ks: Sequence[int] = (5, 10, 20),
     weight: str = "sim",
@@ -222,7 +222,7 @@ def _truth_pairs(period: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 def evaluate_periods(
     split: DataFrame,
     train_baskets: DataFrame,
-    similarity: DataFrame,
+    similarity: Similarity,
     popular: DataFrame,
     k: int = 10,
     weight: str = "sim",
@@ -270,7 +270,7 @@ def evaluate_periods(
 def backtest(
     train_baskets: DataFrame,
     later: DataFrame,
-    similarity: DataFrame | None,
+    similarity: Similarity,
     popular: DataFrame,
     variant: Variant,
     k: int = 10,

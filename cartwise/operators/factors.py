@@ -1,9 +1,9 @@
 """Latent factors of the customer x category matrix.
 
-The truncated SVD is computed from the Gram matrix (categories x categories),
-which Spark aggregates from all customers; only that matrix, whose size is
-checked, is decomposed inside one task per group. Beyond the limit MLlib's
-distributed SVD takes over. NMF iterates over the distinct baskets with the
+The truncated SVD of few categories is computed from the Gram matrix
+(categories x categories), which Spark aggregates from all customers and one
+task per group decomposes. Beyond a checked number of categories ``krylov``
+finds the same vectors without that matrix. NMF iterates over the distinct baskets with the
 small factor matrix sent to the tasks.
 """
 
@@ -19,7 +19,9 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.operators import krylov
 from cartwise.operators.cooccurrence import gram
+from cartwise.operators.latent import NEGLIGIBLE
 from cartwise.session import stage
 
 # The small helpers below run in Python workers, which need not have this package installed.
@@ -27,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Categories up to which a Gram matrix (8 bytes per pair: 32 MB) may sit in one task.
 DENSE_CATEGORIES = 2_000
+# Categories (about) of a block of the similarity table.
+PAIR_BLOCK = 1_024
 # Rows of a factor matrix (at most some 40 doubles each) that may be sent to the tasks.
 FACTOR_ROWS = 100_000
 
@@ -63,140 +67,101 @@ def check_dense(products: DataFrame, by: Sequence[str] = ()) -> bool:
 
 def category_factors(products: DataFrame, n_components: int = 15) -> DataFrame:
     """Right singular vectors: category_en, ``factors`` (array) and ``sigma`` (array)."""
-    if not check_dense(products):
-        return _distributed_factors(products, n_components)
+    return group_factors(products, n_components)
+
+
+def group_factors(products: DataFrame, n_components: int, by: Sequence[str] = ()) -> DataFrame:
+    """The same per group, from inner products of the matrix' columns (``by``, cat_a <= cat_b, dot).
+
+    The first k factors are those of a smaller ``n_components``. A group's
+    matrix goes to one task if it is small enough, else block Lanczos steps
+    multiply with the table of products.
+    """
+    by = list(by)
+    if not check_dense(products, by):
+        return _distributed_factors(products, n_components, by)
 
     def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
         cats, matrix = _dense(pdf)
         values, vectors = _leading(matrix, _clip(n_components, len(cats)))
-        sigma = np.sqrt(values)
+        out = {c: [pdf[c].iloc[0]] * len(cats) for c in by}
         return pd.DataFrame(
-            {"category_en": cats, "factors": list(vectors), "sigma": [sigma] * len(cats)}
+            {**out, "category_en": cats, "factors": list(vectors), "sigma": [np.sqrt(values)] * len(cats)}
         )
 
-    schema = "category_en string, factors array<double>, sigma array<double>"
-    return products.groupBy().applyInPandas(decompose, schema)
+    types = dict(products.dtypes)
+    schema = ", ".join([*(f"{c} {types[c]}" for c in by), "category_en string, factors array<double>, sigma array<double>"])
+    return products.groupBy(*by).applyInPandas(decompose, schema)
 
 
-def _distributed_factors(products: DataFrame, n_components: int) -> DataFrame:
-    """Eigenvectors of a wide Gram matrix by MLlib's distributed solver (its rows stay sparse)."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+def _distributed_factors(products: DataFrame, n_components: int, by: Sequence[str] = ()) -> DataFrame:
+    return krylov.leading_factors(krylov.Products(products, tuple(by)), n_components)
 
-    spark = products.sparkSession
-    names = products.where("cat_a = cat_b").select(F.col("cat_a").alias("category_en"))
-    index = stage(
-        names.repartitionByRange("category_en")
-        .sortWithinPartitions("category_en")
-        .withColumn("at", F.monotonically_increasing_id())
-    )
-    order = Window.partitionBy("part").orderBy("at")
-    parts = index.withColumn("part", F.shiftright("at", 33))
-    starts = parts.groupBy("part").count().withColumn(
-        "start", F.sum("count").over(Window.orderBy("part")) - F.col("count")
-    )
-    numbered = stage(
-        parts.withColumn("nth", F.row_number().over(order) - 1)
-        .join(starts, "part")
-        .select("category_en", (F.col("start") + F.col("nth")).cast("int").alias("at"))
-    )
-    n = numbered.count()
-    both = products.unionByName(
-        products.where("cat_a <> cat_b").select(
-            F.col("cat_b").alias("cat_a"), F.col("cat_a").alias("cat_b"), "dot"
-        )
-    )
-    rows = (
-        both.join(numbered.select(F.col("category_en").alias("cat_a"), F.col("at").alias("i")), "cat_a")
-        .join(numbered.select(F.col("category_en").alias("cat_b"), F.col("at").alias("j")), "cat_b")
-        .groupBy("i")
-        .agg(F.sort_array(F.collect_list(F.struct("j", F.col("dot").cast("double").alias("v")))).alias("row"))
-    )
-    matrix = IndexedRowMatrix(
-        rows.rdd.map(lambda r: IndexedRow(r["i"], Vectors.sparse(n, [(e["j"], e["v"]) for e in r["row"]]))),
-        0,
-        n,
-    )
-    svd = matrix.computeSVD(_clip(n_components, n), computeU=True)
-    sigma = [float(np.sqrt(max(v, 0.0))) for v in svd.s.toArray()]
-    # The Gram matrix is symmetric, so the rows of U are the category factors.
-    factors = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    frame = stage(spark.createDataFrame(factors, "at int, factors array<double>"))
-    # As in _leading: the largest loading of each factor is positive, the first one if several are.
-    peaks = [
-        F.max(F.struct(F.abs(F.col("factors")[i]), -F.col("at"), F.col("factors")[i].alias("value")))["value"].alias(f"p{i}")
-        for i in range(len(sigma))
-    ]
-    signs = [-1.0 if (peak or 0.0) < 0 else 1.0 for peak in frame.agg(*peaks).first()]
-    frame = frame.select("at", F.array(*(F.col("factors")[i] * s for i, s in enumerate(signs))).alias("factors"))
-    return frame.join(numbered, "at").select(
-        "category_en", "factors", F.array(*(F.lit(s) for s in sigma)).alias("sigma")
-    )
 
+def is_wide(baskets: DataFrame, by: Sequence[str] = ()) -> bool:
+    """Whether some group has more categories than a Gram matrix in one task may have."""
+    cats = baskets.select(*by, F.explode("cats").alias("c")).distinct()
+    return (cats.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) > DENSE_CATEGORIES
 
-def cosine_similarity(factors: DataFrame) -> DataFrame:
-    """Cosine between the factor rows of all categories (both directions, with diagonal).
 
-    The small factor matrix (one row per category, size checked) goes to the
-    tasks; each task multiplies its own rows with it.
+def basket_factors(baskets: DataFrame, n_components: int, by: Sequence[str] = ()) -> DataFrame:
+    """Category factors straight from baskets; with very many categories no product of two columns is formed."""
+    if is_wide(baskets, by):
+        return krylov.leading_factors(krylov.Cells.of_baskets(baskets, by), n_components)
+    return group_factors(stage(gram(baskets, by)), n_components, by)
+
+
+def cosine_similarity(factors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Cosine between the factor rows of all categories (both directions, with diagonal), per group.
+
+    A product of blocks: categories are hashed into blocks of about
+    ``PAIR_BLOCK``, every block meets every block of its group by a join on the
+    block number, and a task multiplies one pair of blocks at a time. The
+    output has a row per pair of categories; rankings do without it (``latent``).
     """
-    known = factors.limit(FACTOR_ROWS + 1).toPandas()
-    if len(known) > FACTOR_ROWS:
-        raise ValueError(f"a dense similarity of more than {FACTOR_ROWS} categories is not supported")
-    known = known.sort_values("category_en")
-    shared = factors.sparkSession.sparkContext.broadcast(
-        (known["category_en"].to_numpy(), _unit_rows(np.vstack(known["factors"])))
+    by = list(by)
+    most = factors.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    blocks = -(-most // PAIR_BLOCK)
+    block = F.pmod(F.xxhash64("category_en"), F.lit(blocks)).cast("int")
+    packed = stage(
+        factors.groupBy(*by, block.alias("block"))
+        .agg(F.collect_list(F.struct("category_en", "factors")).alias("e"))
+        .select(*by, "block", F.col("e.category_en").alias("cats"), F.col("e.factors").alias("vectors"))
     )
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    left = packed.select(*by, F.col("cats").alias("left_cats"), F.col("vectors").alias("left_vectors"), every)
+    names = [*by, "cat_a", "cat_b", "sim"]
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cats, unit = shared.value
         for pdf in batches:
-            for name, row in zip(pdf["category_en"], pdf["factors"]):
-                mine = _unit_rows(np.asarray(row, dtype=float)[None, :])
-                yield pd.DataFrame({"cat_a": name, "cat_b": cats, "sim": (unit @ mine.T).ravel()})
+            for row in pdf.to_dict("records"):
+                sims = _unit_rows(np.vstack(row["left_vectors"])) @ _unit_rows(np.vstack(row["vectors"])).T
+                pairs = {"cat_a": np.repeat(row["left_cats"], sims.shape[1]), "cat_b": np.tile(row["cats"], sims.shape[0])}
+                yield pd.DataFrame({**{c: row[c] for c in by}, **pairs, "sim": sims.ravel()})[names]
 
-    return factors.select("category_en", "factors").mapInPandas(
-        multiply, "cat_a string, cat_b string, sim double"
-    )
+    types = dict(factors.dtypes)
+    schema = ", ".join([*(f"{c} {types[c]}" for c in by), "cat_a string, cat_b string, sim double"])
+    return left.join(packed, [*by, "block"]).mapInPandas(multiply, schema)
 
 
 def _unit_rows(rows: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
-    return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
+    return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > NEGLIGIBLE)
 
 
 def svd_similarity(baskets: DataFrame, n_components: int = 15) -> DataFrame:
-    return cosine_similarity(stage(category_factors(stage(gram(baskets)), n_components)))
+    return cosine_similarity(stage(basket_factors(baskets, n_components)))
 
 
 def svd_similarities(products: DataFrame, components: Sequence[int], by: Sequence[str]) -> DataFrame:
     """Cosine tables for several factor numbers and groups: one weight column ``svd<k>`` each."""
-    by = list(by)
-    if not check_dense(products, by):
-        raise ValueError(f"more than {DENSE_CATEGORIES} categories: use svd_similarity per group")
-    names = [f"svd{k}" for k in components]
-
-    def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
-        cats, matrix = _dense(pdf)
-        out = {
-            "cat_a": np.repeat(cats, len(cats)),
-            "cat_b": np.tile(cats, len(cats)),
-        }
-        for c in by:
-            out[c] = [pdf[c].iloc[0]] * (len(cats) ** 2)
-        for name, k in zip(names, components):
-            _, vectors = _leading(matrix, _clip(k, len(cats)))
-            unit = _unit_rows(vectors)
-            out[name] = (unit @ unit.T).ravel()
-        return pd.DataFrame(out)
-
-    types = dict(products.dtypes)
-    schema = ", ".join(
-        [*(f"{c} {types[c]}" for c in by), "cat_a string", "cat_b string", *(f"{n} double" for n in names)]
-    )
-    return products.groupBy(*by).applyInPandas(
-        lambda pdf: decompose(pdf)[[*by, "cat_a", "cat_b", *names]], schema
-    )
+    factors = stage(group_factors(products, max(components), by))
+    tables = None
+    for k in components:
+        leading = factors.withColumn("factors", F.slice("factors", 1, k))
+        one = cosine_similarity(leading, by).withColumnRenamed("sim", f"svd{k}")
+        tables = one if tables is None else tables.join(one, [*by, "cat_a", "cat_b"])
+    return tables
 
 
 def user_factors(matrix: DataFrame, factors: DataFrame) -> DataFrame:

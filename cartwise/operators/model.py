@@ -13,14 +13,14 @@ from cartwise.operators.cooccurrence import (
     gram,
 )
 from cartwise.operators.factors import (
-    category_factors,
-    cosine_similarity,
+    basket_factors,
     explained_variance,
     loading_influence,
     nmf_factors,
 )
 from cartwise.operators.interactions import customer_baskets, interactions, popularity
-from cartwise.operators.recommend import Variant
+from cartwise.operators.latent import Latent
+from cartwise.operators.recommend import Similarity, Variant
 from cartwise.session import stage
 
 METHODS = ("popularity", "copurchase", "svd", "nmf", "hybrid")
@@ -30,7 +30,6 @@ DEFAULTS = {
     "method": "hybrid",
     "cf_method": "copurchase",
     "n_components": 15,
-    "n_iter": 10,
     "alpha": 0.5,
     "min_support": 10,
 }
@@ -80,9 +79,16 @@ class Model:
 
     @property
     def variant(self) -> Variant:
-        weight = None if self.similarity is None else "sim"
+        weight = None if self.scoring is None else "sim"
         return variant_of(self.params, self.params["method"], weight)
 
+    @property
+    def scoring(self) -> Similarity:
+        """What recommendations are scored with: the pair table or the category factors."""
+        if self.factors is None:
+            return self.similarity
+        return Latent(self.factors, {"sim": self.params["n_components"]})
+
     def influence(self, top: int = 15) -> DataFrame:
         """Categories that shape the recommendations most."""
         if self.factors is not None:
@@ -110,9 +116,7 @@ def fit(master: DataFrame, params: dict, baskets: DataFrame | None = None) -> Mo
         parts["similarity"] = stage(copurchase_similarity(baskets, params["min_support"]))
     elif base == "svd":
         parts["products"] = stage(gram(baskets))
-        parts["factors"] = stage(category_factors(parts["products"], params["n_components"]))
-        parts["similarity"] = stage(cosine_similarity(parts["factors"]))
+        parts["factors"] = stage(basket_factors(baskets, params["n_components"]))
     elif base == "nmf":
         parts["factors"], _ = nmf_factors(baskets, params["n_components"])
-        parts["similarity"] = stage(cosine_similarity(parts["factors"]))
     return Model(params, popular, n_users=n_users, n_cats=cats, **parts)

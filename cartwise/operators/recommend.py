@@ -10,9 +10,10 @@ the model through one table of links:
 
 A unit looks up its categories and the ranks 1..k+|basket|. With similarities
 that are never negative no category further down the popularity list can reach
-the top k: at least k categories that are not owned precede it. Dense
-similarities (which may be negative) list every category anyway. So no
-units x categories product is formed.
+the top k: at least k categories that are not owned precede it. A table with
+negative similarities makes every category a candidate of every unit, in rows.
+Cosines of category factors are not looked up in a table: ``latent`` multiplies
+the units with blocks of category vectors and keeps k categories of each.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import score_key
+from cartwise.operators.latent import Latent, rank_by_factors
 from cartwise.session import small_side, stage
 
 
@@ -41,6 +43,23 @@ class Variant:
     keep_all: bool = False
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Where the weights of variants come from: a table of category pairs, category factors, or both."""
+
+    links: DataFrame | None = None
+    latents: tuple[Latent, ...] = ()
+
+
+Similarity = DataFrame | Latent | Weights | None
+
+
+def weights_of(similarity: Similarity) -> Weights:
+    if isinstance(similarity, Weights):
+        return similarity
+    return Weights(latents=(similarity,)) if isinstance(similarity, Latent) else Weights(similarity)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -111,7 +130,7 @@ def _reach(
 
 def rank_units(
     units: DataFrame,
-    similarity: DataFrame | None,
+    similarity: Similarity,
     popular: DataFrame,
     variants: Sequence[Variant],
     k: int,
@@ -121,7 +140,30 @@ def rank_units(
     """The k best categories per unit and variant.
 
     Columns: ``by``, unit_id, ``carry``, variant, category, rank, affinity (sum
-    of similarities to the basket) and score. Only the unit rows are shuffled:
+    of similarities to the basket) and score. Variants whose weight is a cosine
+    of factors are ranked by ``rank_by_factors``, the others by links.
+    """
+    weights = weights_of(similarity)
+    by_factors = {w for latent in weights.latents for w in latent.weights}
+    linked = [v for v in variants if v.weight not in by_factors]
+    latent = [v for v in variants if v.weight in by_factors]
+    ranked = _rank_by_links(units, weights.links, popular, linked, k, by, carry) if linked or not latent else None
+    if latent:
+        found = rank_by_factors(units, weights.latents, popular, latent, k, by, carry)
+        ranked = found if ranked is None else ranked.unionByName(found)
+    return ranked
+
+
+def _rank_by_links(
+    units: DataFrame,
+    similarity: DataFrame | None,
+    popular: DataFrame,
+    variants: Sequence[Variant],
+    k: int,
+    by: Sequence[str] = (),
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Only the unit rows are shuffled:
     lookups, sums and rankings all stay in the unit's partition as long as the
     links are small enough for Spark to broadcast.
     """
@@ -214,7 +256,7 @@ def attach_to_customers(baskets: DataFrame, per_basket: DataFrame) -> DataFrame:
 
 def recommend_all(
     baskets: DataFrame,
-    similarity: DataFrame | None,
+    similarity: Similarity,
     popular: DataFrame,
     variant: Variant,
     k: int = 10,

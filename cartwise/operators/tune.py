@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from cartwise.operators.cooccurrence import gram, jaccard, pair_counts
 from cartwise.operators.evaluate import loo_metrics, loo_units
-from cartwise.operators.factors import cosine_similarity, nmf_factors, svd_similarities
+from cartwise.operators.factors import basket_factors, group_factors, is_wide, nmf_factors
 from cartwise.operators.interactions import ranked_popularity
+from cartwise.operators.latent import Latent
 from cartwise.operators.model import backbone, full_params, variant_of, weight_name
+from cartwise.operators.recommend import Weights
 from cartwise.session import stage
 
 
@@ -62,7 +64,7 @@ def _minus_fold(counted: DataFrame, keys: Sequence[str], value: str, n_splits: i
 class FoldModels:
     units: DataFrame
     popular: DataFrame
-    similarity: DataFrame | None
+    similarity: Weights
     n_splits: int
 
 
@@ -103,42 +105,36 @@ def fold_models(
     floors = sorted({p["min_support"] for p in param_sets if backbone(p) == "copurchase"})
     ranks = sorted({p["n_components"] for p in param_sets if backbone(p) == "svd"})
     nmf_ranks = sorted({p["n_components"] for p in param_sets if backbone(p) == "nmf"})
-    tables = []
+    links = None
     if floors:
         pairs = _minus_fold(pair_counts(folded, ["fold"]), ["cat_a", "cat_b"], "support", n_splits)
-        tables.append((jaccard(pairs, train_customers, floors, ["fold"]), [f"w{f}" for f in floors]))
+        links = stage(jaccard(pairs, train_customers, floors, ["fold"]))
+    latents = []
     if ranks:
-        products = stage(_minus_fold(gram(folded, ["fold"]), ["cat_a", "cat_b"], "dot", n_splits))
-        tables.append((svd_similarities(products, ranks, ["fold"]), [f"svd{r}" for r in ranks]))
+        latents.append(Latent(stage(fold_factors(folded, max(ranks), n_splits)), {f"svd{r}": r for r in ranks}))
     for rank in nmf_ranks:
         per_fold = None
         for fold in range(n_splits):
             factors, _ = nmf_factors(folded.where(F.col("fold") != fold), rank)
-            one = cosine_similarity(factors).select(
-                F.lit(fold).alias("fold"), "cat_a", "cat_b", F.col("sim").alias(f"nmf{rank}")
-            )
+            one = factors.withColumn("fold", F.lit(fold))
             per_fold = one if per_fold is None else per_fold.unionByName(one)
-        tables.append((per_fold, [f"nmf{rank}"]))
-    return FoldModels(units, train_popular, merged_similarity(tables, ["fold"]), n_splits)
+        latents.append(Latent(per_fold, {f"nmf{rank}": rank}))
+    return FoldModels(units, train_popular, Weights(links, tuple(latents)), n_splits)
 
 
-def merged_similarity(
-    tables: Sequence[tuple[DataFrame, list[str]]], by: Sequence[str] = ()
-) -> DataFrame | None:
-    """One table with all weight columns; a pair missing in one source weighs 0 there."""
-    if not tables:
-        return None
-    names = [n for _, ns in tables for n in ns]
-    union = None
-    for table, own in tables:
-        padded = table.select(
-            *by,
-            "cat_a",
-            "cat_b",
-            *(F.col(n) if n in own else F.lit(0.0).alias(n) for n in names),
-        )
-        union = padded if union is None else union.unionByName(padded)
-    return stage(union.groupBy(*by, "cat_a", "cat_b").agg(*(F.sum(n).alias(n) for n in names)))
+def fold_factors(folded: DataFrame, n_components: int, n_splits: int) -> DataFrame:
+    """Category factors of every fold's training customers: fold, category_en, factors, sigma.
+
+    One decomposition serves all smaller factor numbers. Beyond the categories
+    of a Gram matrix in one task, the training baskets of all folds are
+    decomposed at once, with the fold as a key of their cells.
+    """
+    if is_wide(folded):
+        others = F.filter(F.array(*(F.lit(f) for f in range(n_splits))), lambda f: f != F.col("fold"))
+        train = folded.select("cats", "counts", F.explode(others).alias("fold"))
+        return basket_factors(train, n_components, ["fold"])
+    products = _minus_fold(gram(folded, ["fold"]), ["cat_a", "cat_b"], "dot", n_splits)
+    return group_factors(stage(products), n_components, ["fold"])
 
 
 def cross_validate(
@@ -345,16 +341,14 @@ def compare_families(
     floors = sorted({p["min_support"] for p in families.values() if backbone(p) == "copurchase"})
     ranks = sorted({p["n_components"] for p in families.values() if backbone(p) == "svd"})
     nmf_ranks = sorted({p["n_components"] for p in families.values() if backbone(p) == "nmf"})
-    tables = []
-    if floors:
-        pairs, singles = pair_counts(baskets), category_customers(baskets)
-        tables.append((jaccard(pairs, singles, floors), [f"w{f}" for f in floors]))
+    links = stage(jaccard(pair_counts(baskets), category_customers(baskets), floors)) if floors else None
+    latents = []
     if ranks:
-        tables.append((svd_similarities(stage(gram(baskets)), ranks, []), [f"svd{r}" for r in ranks]))
+        latents.append(Latent(stage(basket_factors(baskets, max(ranks))), {f"svd{r}": r for r in ranks}))
     for rank in nmf_ranks:
         factors, _ = nmf_factors(baskets, rank)
-        tables.append((cosine_similarity(factors).withColumnRenamed("sim", f"nmf{rank}"), [f"nmf{rank}"]))
+        latents.append(Latent(factors, {f"nmf{rank}": rank}))
     variants = [variant_of(p, name, weight_name(p)) for name, p in families.items()]
-    return loo_metrics(loo_units(baskets), merged_similarity(tables), popular, variants, k).orderBy(
+    return loo_metrics(loo_units(baskets), Weights(links, tuple(latents)), popular, variants, k).orderBy(
         F.desc("recall"), "variant"
     )

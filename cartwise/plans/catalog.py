@@ -23,6 +23,7 @@ from cartwise.operators import (
     factors,
     features,
     interactions,
+    latent,
     master,
     model,
     quality,
@@ -49,6 +50,7 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: stable(c, d) for c, d in digits.items()})
 
 
+COMPARED = {"precision_baseline": 8, "recall_baseline": 8, "precision_model": 8, "recall_model": 8}
 MEASURES = {"precision": 8, "recall": 8, "hit_rate": 8, "coverage": 8, "f1": 8}
 
 
@@ -114,8 +116,8 @@ class Tables:
         return stage(factors.category_factors(self.products, 15))
 
     @functools.cached_property
-    def svd(self) -> DataFrame:
-        return stage(factors.cosine_similarity(self.factors))
+    def svd(self) -> latent.Latent:
+        return latent.Latent(self.factors, {"sim": 15})
 
     @functools.cached_property
     def rfm(self) -> DataFrame:
@@ -339,31 +341,32 @@ def gram_matrix(t: Tables) -> DataFrame:
 
 @query
 def svd_category_factors(t: Tables) -> DataFrame:
-    return factors.category_factors(t.products, 15).select(
+    found = factors.category_factors(t.products, 15).select(
         "category_en", F.posexplode("factors").alias("factor", "loading")
     )
+    return rounded(found, loading=6)
 
 
 @query
 def svd_similarity(t: Tables) -> DataFrame:
-    return factors.cosine_similarity(t.factors)
+    return rounded(factors.cosine_similarity(t.factors), sim=6)
 
 
 @query
 def svd_user_factors(t: Tables) -> DataFrame:
-    return factors.user_factors(t.matrix, t.factors).select(
-        "user", F.posexplode("factors").alias("factor", "value")
-    )
+    found = factors.user_factors(t.matrix, t.factors)
+    return rounded(found.select("user", F.posexplode("factors").alias("factor", "value")), value=6)
 
 
 @query
 def svd_explained_variance(t: Tables) -> DataFrame:
-    return factors.explained_variance(t.matrix, t.products, t.factors, t.baskets.count())
+    found = factors.explained_variance(t.matrix, t.products, t.factors, t.baskets.count())
+    return rounded(found, explained_variance=8, cumulative_variance=8)
 
 
 @query
 def svd_influence(t: Tables) -> DataFrame:
-    return factors.loading_influence(t.factors, 15)
+    return rounded(factors.loading_influence(t.factors, 15), influence=6)
 
 
 @query
@@ -447,15 +450,12 @@ def loo_hybrid(t: Tables) -> DataFrame:
 
 @query
 def compare_popularity_and_svd(t: Tables) -> DataFrame:
-    return evaluate.compare_models(t.units, t.svd, t.popular)
+    return rounded(evaluate.compare_models(t.units, t.svd, t.popular), **COMPARED)
 
 
 @query
 def compare_popularity_and_copurchase(t: Tables) -> DataFrame:
-    found = evaluate.compare_models(t.units, t.jaccard, t.popular).drop("delta_precision", "delta_recall")
-    return rounded(
-        found, precision_baseline=8, recall_baseline=8, precision_model=8, recall_model=8
-    )
+    return rounded(evaluate.compare_models(t.units, t.jaccard, t.popular), **COMPARED)
 
 
 @query
@@ -470,7 +470,7 @@ def split_orders_per_month(t: Tables) -> DataFrame:
 
 @query
 def period_recall_svd(t: Tables) -> DataFrame:
-    return evaluate.evaluate_periods(t.split, t.train_baskets, t.svd, t.popular)
+    return rounded(evaluate.evaluate_periods(t.split, t.train_baskets, t.svd, t.popular), recall=8)
 
 
 @query
@@ -485,7 +485,7 @@ def _backtest(t: Tables) -> DataFrame:
     baskets = stage(interactions.customer_baskets(past))
     fitted = model.fit(past, {"method": "hybrid", "alpha": 0.7, "min_support": 10}, baskets)
     return evaluate.backtest(
-        baskets, t.split.where("split = 'backtest'"), fitted.similarity, fitted.popular, fitted.variant
+        baskets, t.split.where("split = 'backtest'"), fitted.scoring, fitted.popular, fitted.variant
     )
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cartwise.operators import evaluate, evolution, factors, features, quality, splits, tune
 from cartwise.operators.clean import clean_master
-from cartwise.operators.cooccurrence import gram
 from cartwise.operators.interactions import customer_baskets, interactions, matrix_stats, popularity
+from cartwise.operators.latent import Latent
 from cartwise.operators.master import build_master
 from cartwise.operators.model import Model, fit
 from cartwise.session import stage
@@ -21,7 +21,7 @@ from cartwise.sources.tables import Sources
 def loo_of(model: Model, baskets: DataFrame, k: int = 10) -> DataFrame:
     """Leave-one-out measures of a fitted model (in-sample if fitted on the same customers)."""
     return evaluate.loo_metrics(
-        evaluate.loo_units(baskets), model.similarity, model.popular, [model.variant], k
+        evaluate.loo_units(baskets), model.scoring, model.popular, [model.variant], k
     )
 
 
@@ -70,9 +70,8 @@ def feature_run(
     baskets = stage(customer_baskets(clean))
     matrix = stage(interactions(clean))
     popular = stage(popularity(clean))
-    products = stage(gram(baskets))
-    category_factors = stage(factors.category_factors(products, n_components))
-    similarity = stage(factors.cosine_similarity(category_factors))
+    category_factors = stage(factors.basket_factors(baskets, n_components))
+    similarity = Latent(category_factors, {"sim": n_components})
     units = evaluate.loo_units(baskets)
     split = splits.with_split(clean, train_end, validation_end)
     train_baskets = stage(customer_baskets(split.where("split = 'train'")))
@@ -86,7 +85,7 @@ def feature_run(
         "matrix_stats": matrix_stats(matrix),
         "category_factors": category_factors,
         "user_factors": factors.user_factors(matrix, category_factors),
-        "similarity": similarity,
+        "similarity": factors.cosine_similarity(category_factors),
         "customer_baskets": baskets,
         "popularity": popular,
         "model_comparison": evaluate.compare_models(units, similarity, popular),
@@ -137,7 +136,7 @@ def selection_run(
         "backtest": evaluate.backtest(
             past_baskets,
             split.where("split = 'backtest'"),
-            past_model.similarity,
+            past_model.scoring,
             past_model.popular,
             past_model.variant,
             k,

@@ -214,6 +214,7 @@ def with_(*parts: str) -> str:
 RAW = with_(SOURCES, _master())
 CLEANED = with_(SOURCES, _master(), CLEAN)
 HIST = with_(SOURCES, _master(), CLEAN, history("clean"))
+SVD_HIST = HIST.replace("WITH", "WITH RECURSIVE", 1)
 
 
 def cleaned_until(month: str, *parts: str) -> str:
@@ -358,3 +359,49 @@ fold_rows AS (
         FROM recs r LEFT JOIN test t ON t.u = r.u AND t.cat = r.cat WHERE r.rank <= 10 GROUP BY 1, 2)
   JOIN (SELECT fold, count(*) AS n FROM test GROUP BY 1) USING (fold)
   JOIN (SELECT fold, count(*) AS cats FROM fpop GROUP BY 1) USING (fold))"""
+
+
+SQUARINGS = 22
+
+
+def eigen(name: str, source: str, k: int) -> str:
+    """``name`` (f, cat, l, v): leading eigenvectors of the full symmetric matrix ``source`` (a, b, v), recursively.
+
+    The matrix is squared again and again (scaled to trace 1) until its first
+    eigenvector alone is left; that part is subtracted, and so on, for ``k``
+    vectors or one less than there are rows. The largest entry of a vector is
+    positive, the first one if several are.
+    """
+    return f"""
+{name}_steps(f, step, a, b, g, p) AS (
+  SELECT 0, 0, a, b, v, v / (SELECT sum(v) FROM {source} WHERE a = b) FROM {source}
+  UNION ALL
+  SELECT * FROM (
+    WITH s AS (SELECT * FROM {name}_steps WHERE f >= 0),
+    squared AS (SELECT x.a, y.b, sum(x.p * y.p) AS p FROM s x JOIN s y ON x.b = y.a WHERE x.step < {SQUARINGS} GROUP BY 1, 2),
+    trace AS (SELECT sum(p) AS t FROM squared WHERE a = b),
+    peak AS (SELECT a FROM s WHERE a = b AND step = {SQUARINGS} ORDER BY p DESC, a LIMIT 1),
+    vec AS (SELECT s.a, s.p AS v FROM s JOIN peak ON s.b = peak.a),
+    unit AS (SELECT a, v / sqrt(sum(v * v) OVER ()) AS v FROM vec),
+    val AS (SELECT sum(s.g * x.v * y.v) AS l FROM s JOIN unit x ON x.a = s.a JOIN unit y ON y.a = s.b),
+    less AS (SELECT s.f, s.a, s.b, s.g - l * x.v * y.v AS g FROM s JOIN unit x ON x.a = s.a JOIN unit y ON y.a = s.b, val),
+    rest AS (SELECT sum(g) AS t, count(*) AS n FROM less WHERE a = b)
+    SELECT s.f, s.step + 1 AS step, s.a, s.b, s.g, q.p / t AS p FROM s JOIN squared q ON q.a = s.a AND q.b = s.b, trace
+    UNION ALL SELECT f + 1, 0, a, b, g, g / t FROM less, rest WHERE f + 1 < least({k}, n - 1)
+    UNION ALL SELECT -1 - less.f, 0, unit.a, unit.a, l, unit.v FROM unit JOIN less ON less.a = unit.a AND less.b = unit.a, val)),
+{name} AS MATERIALIZED (
+  SELECT -1 - f AS f, a AS cat, greatest(g, 0) AS l, p * CASE WHEN first_value(p) OVER (PARTITION BY f ORDER BY abs(p) DESC, a) < 0 THEN -1 ELSE 1 END AS v
+  FROM {name}_steps WHERE f < 0)"""
+
+
+def svd(k: int) -> str:
+    """``fac`` and the cosines ``sim`` of its rows; a negligible row has none."""
+    return f"""
+every_cat AS (SELECT DISTINCT cat FROM inter),
+half_gram AS (SELECT a.cat AS a, b.cat AS b, CAST(sum(a.x * b.x) AS DOUBLE) AS v FROM inter a JOIN inter b ON a.u = b.u GROUP BY 1, 2),
+gram AS MATERIALIZED (
+  SELECT x.cat AS a, y.cat AS b, coalesce(g.v, 0.0) AS v FROM every_cat x JOIN every_cat y ON true
+  LEFT JOIN half_gram g ON g.a = x.cat AND g.b = y.cat),
+{eigen("fac", "gram", k)},
+unit_fac AS (SELECT f, cat, CASE WHEN sqrt(sum(v * v) OVER (PARTITION BY cat)) > 1e-9 THEN v / sqrt(sum(v * v) OVER (PARTITION BY cat)) ELSE 0.0 END AS v FROM fac),
+sim AS MATERIALIZED (SELECT a.cat AS cat_a, b.cat AS cat_b, sum(a.v * b.v) AS sim FROM unit_fac a JOIN unit_fac b ON a.f = b.f GROUP BY 1, 2)"""

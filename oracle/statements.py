@@ -22,6 +22,8 @@ from oracle.sql import (
     ranking,
     rfm,
     stable,
+    svd,
+    SVD_HIST,
     with_,
     _master,
 )
@@ -136,6 +138,27 @@ ranked_test AS (
   SELECT t.u, p.rank - (SELECT count(*) FROM train r JOIN pop q ON q.cat = r.cat WHERE r.u = t.u AND q.rank < p.rank) AS place
   FROM test t JOIN pop p ON p.cat = t.cat)"""
 
+RAW_SUM = ("* (CASE WHEN mx > 0 THEN cf / mx ELSE cf END)", "* cf")
+
+# Popularity against plain similarity sums, with relative differences.
+COMPARED = f"""
+SELECT k, {stable("b / (n * k)", 8)} AS precision_baseline, {stable("b / n", 8)} AS recall_baseline,
+  {stable("m / (n * k)", 8)} AS precision_model, {stable("m / n", 8)} AS recall_model,
+  printf('%+.1f%%', coalesce((m / (n * k)) / nullif(b / (n * k), 0) * 100 - 100, 0.0)) AS delta_precision,
+  printf('%+.1f%%', coalesce((m / n) / nullif(b / n, 0) * 100 - 100, 0.0)) AS delta_recall
+FROM (SELECT k, (SELECT count(*) FROM test) AS n, (SELECT count(*) FROM ranked_test WHERE place <= k) AS b,
+  (SELECT count(*) FROM recs r JOIN test t ON t.u = r.u AND t.cat = r.cat WHERE r.rank <= k) AS m
+  FROM (VALUES (5), (10), (20)) ks(k))"""
+
+# Share of the categories of later periods that the lists of training customers hold.
+HIST0 = "hist0 AS (SELECT DISTINCT customer_unique_id AS u, category_en AS cat FROM split WHERE split = 'train')"
+PERIODS = f""",
+truth AS (SELECT DISTINCT split, customer_unique_id AS u, category_en AS cat FROM split
+  WHERE split <> 'train' AND customer_unique_id IN (SELECT u FROM hist0))
+SELECT split, n_users, {stable("hits / relevant", 8)} AS recall FROM (
+  SELECT t.split, count(DISTINCT t.u) AS n_users, count(*) AS relevant, count(r.cat) AS hits
+  FROM truth t LEFT JOIN recs r ON r.u = t.u AND r.cat = t.cat AND r.rank <= 10 GROUP BY 1)"""
+
 TOP = """
 SELECT k, {p} AS precision, {r} AS recall, n_users FROM (
   SELECT k, (SELECT count(*) FROM test) AS n_users, (SELECT count(*) FROM ranked_test WHERE place <= k) AS hits FROM {ks})"""
@@ -233,12 +256,28 @@ JOIN inter b ON a.u = b.u AND a.cat <= b.cat GROUP BY 1, 2""",
     "loo_copurchase": loo("copurchase", "1.0"),
     "loo_hybrid": loo("hybrid", "0.5"),
     "compare_popularity_and_copurchase": HIST + "," + LOO + "," + CURVE + "," + SIM10 + ","
-    + ranking("train", "1.0", positives=False).replace("* (CASE WHEN mx > 0 THEN cf / mx ELSE cf END)", "* cf") + f"""
-SELECT k, {stable("b / (n * k)", 8)} AS precision_baseline, {stable("b / n", 8)} AS recall_baseline,
-  {stable("m / (n * k)", 8)} AS precision_model, {stable("m / n", 8)} AS recall_model
-FROM (SELECT k, (SELECT count(*) FROM test) AS n, (SELECT count(*) FROM ranked_test WHERE place <= k) AS b,
-  (SELECT count(*) FROM recs r JOIN test t ON t.u = r.u AND t.cat = r.cat WHERE r.rank <= k) AS m
-  FROM (VALUES (5), (10), (20)) ks(k))""",
+    + ranking("train", "1.0", positives=False).replace(*RAW_SUM) + COMPARED,
+    "compare_popularity_and_svd": SVD_HIST + "," + LOO + "," + CURVE + "," + svd(15) + ","
+    + ranking("train", "1.0", positives=False).replace(*RAW_SUM) + COMPARED,
+    "svd_category_factors": SVD_HIST + "," + svd(15) + f"""
+SELECT cat AS category_en, f AS factor, {stable("v", 6)} AS loading FROM fac""",
+    "svd_similarity": SVD_HIST + "," + svd(15) + f"""
+SELECT cat_a, cat_b, {stable("sim", 6)} AS sim FROM sim""",
+    "svd_user_factors": SVD_HIST + "," + svd(15) + f"""
+SELECT u AS user, f AS factor, {stable("sum(x * v)", 6)} AS value FROM inter JOIN fac USING (cat) GROUP BY u, f""",
+    "svd_explained_variance": SVD_HIST + "," + svd(15) + f""",
+n AS (SELECT count(DISTINCT u) AS n FROM inter),
+total AS (SELECT sum(q / n - (m / n) * (m / n)) AS total FROM (SELECT cat, sum(x) AS m, sum(x * x) AS q FROM inter GROUP BY 1), n),
+coord AS (SELECT u, f, sum(x * v) AS c FROM inter JOIN fac USING (cat) GROUP BY 1, 2),
+share AS (SELECT f, (sum(c * c) / any_value(n) - (sum(c) / any_value(n)) * (sum(c) / any_value(n))) / any_value(total) AS r FROM coord, n, total GROUP BY 1)
+SELECT 'F' || (f + 1) AS factor, {stable("r", 8)} AS explained_variance, {stable("sum(r) OVER (ORDER BY f)", 8)} AS cumulative_variance FROM share""",
+    "svd_influence": SVD_HIST + "," + svd(15) + f"""
+SELECT category_en, {stable("i", 6)} AS influence FROM (SELECT cat AS category_en, sum(abs(v)) AS i FROM fac GROUP BY 1 ORDER BY i DESC, cat LIMIT 15)""",
+    "recommend_svd": SVD_HIST + ", bask AS MATERIALIZED (SELECT u, cat FROM firsts)," + svd(15) + ","
+    + ranking("bask", "1.0", positives=False).replace(*RAW_SUM) + f"""
+SELECT r.u AS customer_unique_id, cat AS category, rank, {stable("cf", 8)} AS affinity, {stable("cf", 8)} AS score,
+  {stable("cf / size", 8)} AS explain
+FROM recs r JOIN (SELECT u, count(*) AS size FROM firsts GROUP BY 1) s ON s.u = r.u WHERE rank <= 10""",
     "split_summary": CLEANED + "," + SPLIT + f"""
 SELECT split, CASE split WHEN 'val' THEN '1999-01' WHEN 'backtest' THEN '2000-07' ELSE min(order_ym) END AS from_month,
   CASE split WHEN 'train' THEN '{TRAIN_END}' WHEN 'val' THEN '{VALIDATION_END}' ELSE max(order_ym) END AS to_month,
@@ -246,14 +285,10 @@ SELECT split, CASE split WHEN 'val' THEN '1999-01' WHEN 'backtest' THEN '2000-07
 FROM split GROUP BY split""",
     "split_orders_per_month": CLEANED + "," + SPLIT + """
 SELECT split, order_ym, count(DISTINCT order_id) AS orders FROM split GROUP BY 1, 2""",
-    "period_recall_copurchase": HIST + "," + SIM10 + "," + SPLIT + """,
-hist0 AS (SELECT DISTINCT customer_unique_id AS u, category_en AS cat FROM split WHERE split = 'train'),"""
-    + ranking("hist0", "1.0", positives=False).replace("* (CASE WHEN mx > 0 THEN cf / mx ELSE cf END)", "* cf") + f""",
-truth AS (SELECT DISTINCT split, customer_unique_id AS u, category_en AS cat FROM split
-  WHERE split <> 'train' AND customer_unique_id IN (SELECT u FROM hist0))
-SELECT split, n_users, {stable("hits / relevant", 8)} AS recall FROM (
-  SELECT t.split, count(DISTINCT t.u) AS n_users, count(*) AS relevant, count(r.cat) AS hits
-  FROM truth t LEFT JOIN recs r ON r.u = t.u AND r.cat = t.cat AND r.rank <= 10 GROUP BY 1)""",
+    "period_recall_copurchase": HIST + "," + SIM10 + "," + SPLIT + "," + HIST0 + ","
+    + ranking("hist0", "1.0", positives=False).replace(*RAW_SUM) + PERIODS,
+    "period_recall_svd": SVD_HIST + "," + svd(15) + "," + SPLIT + "," + HIST0 + ","
+    + ranking("hist0", "1.0", positives=False).replace(*RAW_SUM) + PERIODS,
     "temporal_backtest": with_(SOURCES, _master()) + "," + ",".join([
         CLEAN, SPLIT,
         "past AS (SELECT * FROM split WHERE split <> 'backtest')", history("past"), SIM10,
