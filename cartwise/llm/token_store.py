@@ -9,7 +9,8 @@ into place, so a reader sees a whole data set or none, whatever tasks or
 executors were lost on the way.
 
 ``token_shards`` is a Spark data source: ``df.write.format("token_shards")``
-and ``spark.read.format("token_shards")``. ``Shard`` reads single documents of
+takes doc_id and the bytes of ids, or with the option ``vocabulary`` doc_id and
+text, which it encodes; ``spark.read.format("token_shards")`` reads. ``Shard`` reads single documents of
 one file by select, without reading the ids before them.
 """
 
@@ -25,7 +26,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
 )
 
 from cartwise.llm import elias_fano, tokens
-from cartwise.llm.common import byte_slices, hand_back_memory
+from cartwise.llm.common import BATCH_ROWS, byte_slices, hand_back_memory
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -46,9 +46,10 @@ SHARD_TEXT = 32 << 20  # bytes of text (about) in a shard
 _BLOCK_DOCS, _BLOCK_BYTES = 4096, 4 << 20  # of documents read, of text encoded, at once
 _MOST_PIECES = 400_000  # pieces of text whose ids a task remembers
 
-# The pieces that the vocabulary's own pattern finds, for the characters of tokens._KNOWN.
+# The pieces that the vocabulary's own pattern finds, for the characters of tokens._KNOWN. Words stand first,
+# as the most frequent ones; no other alternative begins as they do.
 _PIECE = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+".format(
+    " ?[{L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+".format(
         L=tokens._LETTER, N=tokens._NUMBER, S=tokens._SPACE
     )
 )
@@ -70,22 +71,31 @@ class PieceEncoder:
             raise ValueError(f"ids of this vocabulary do not fit {width} bytes")
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.known: dict[str, bytes] = {}
-
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        self.known = _Pieces(self.library.model.tokenize, "H" if width == 2 else "I")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > _MOST_PIECES:
             self.known.clear()
         plain = [bool(tokens._KNOWN.fullmatch(t)) and not self.special.search(t) for t in texts]
-        pieces = [_PIECE.findall(t) if ok else None for t, ok in zip(texts, plain, strict=True)]
-        fresh = list({p for found in pieces if found for p in found if p not in self.known})
-        self.known.update(zip(fresh, self._bytes(fresh), strict=True))
-        others = iter(self._bytes([t for t, ok in zip(texts, plain, strict=True) if not ok]))
-        of = self.known.__getitem__
-        return [next(others) if found is None else b"".join(map(of, found)) for found in pieces]
+        others = self.library.encode_batch_fast([t for t, ok in zip(texts, plain, strict=True) if not ok], add_special_tokens=False)
+        rest, of, find = iter(others), self.known.__getitem__, _PIECE.findall
+        return [
+            b"".join(map(of, find(t))) if ok else np.array(next(rest).ids, self.kind).tobytes()
+            for t, ok in zip(texts, plain, strict=True)
+        ]
+
+
+class _Pieces(dict):
+    """The bytes of a piece's ids; a new piece goes to the library's model, its bytes shown as letters."""
+
+    def __init__(self, merge, kind: str):
+        self.merge, self.kind = merge, kind
+        self.letters = str.maketrans({chr(b): c for b, c in enumerate(tokens._byte_letters())})
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = [t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.letters))]
+        coded = self[piece] = struct.pack(f"<{len(ids)}{self.kind}", *ids)
+        return coded
 
 
 def write_token_shards(
@@ -116,17 +126,15 @@ def write_token_shards(
         .select("doc_id", "text")
     )
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, close = PieceEncoder(vocabulary, width), end.to_bytes(width, "little")
-        for batch in batches:
-            for part in byte_slices(batch, "text", _BLOCK_BYTES):
-                ids = [found + close for found in encoder.encode(part["text"].to_pylist())]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"])
-        del encoder
-        hand_back_memory()
-
-    encoded = ranged.mapInArrow(encode, "doc_id long, ids binary")
-    encoded.write.format("token_shards").option("width", str(width)).mode("append").save(path)
+    sink = ranged.write.format("token_shards").mode("append")
+    sink = sink.options(width=str(width), vocabulary=vocabulary, end=str(end))
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(BATCH_ROWS))  # whole texts beside the executor's heap
+    try:
+        sink.save(path)
+    finally:
+        conf.set(key, before)
 
 
 def read_token_shards(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
@@ -200,8 +208,19 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, width: int, overwrite: bool):
-        self.path, self.width, self.overwrite = path, width, overwrite
+    def __init__(self, path: str, width: int, overwrite: bool, vocabulary: str | None, end: int):
+        self.path, self.width, self.overwrite, self.vocabulary, self.end = path, width, overwrite, vocabulary, end
+
+    def _encoded(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
+        """doc_ids and the bytes of their ids, some megabytes at once."""
+        if self.vocabulary is None:
+            for batch in batches:
+                yield batch["doc_id"], [v.as_buffer() for v in batch["ids"]]
+            return
+        encoder, close = PieceEncoder(self.vocabulary, self.width), self.end.to_bytes(self.width, "little")
+        for batch in batches:
+            for part in byte_slices(batch, "text", _BLOCK_BYTES):
+                yield part["doc_id"], [ids + close for ids in encoder.encode(part["text"].to_pylist())]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         order = TaskContext.get().partitionId()
@@ -211,17 +230,17 @@ class _Writer(DataSourceArrowWriter):
         name = f"shard-{order:06d}-{uuid.uuid4().hex}.tok"
         lengths, names, nulls = [], [], 0
         out = None
-        for batch in iterator:
-            if not len(batch):
+        for keys, ids in self._encoded(iterator):
+            if not ids:
                 continue
             if out is None:
                 out = fs.open_output_stream(f"{folder}/{name}")
                 out.write(MAGIC)
-            for value in batch["ids"]:
-                out.write(value.as_buffer())
-            lengths.append(pc.binary_length(batch["ids"]).to_numpy().astype(np.int64) // self.width)
-            nulls += batch["doc_id"].null_count
-            names.append(batch["doc_id"].drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
+            out.write(b"".join(ids))
+            lengths.append(np.array([len(i) for i in ids], np.int64) // self.width)
+            nulls += keys.null_count
+            names.append(keys.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
+        hand_back_memory()
         if out is None:
             return _Written(order, "", 0, 0, None, None, 0)
         ends, keys = np.cumsum(np.concatenate(lengths)), np.concatenate(names)
@@ -291,15 +310,15 @@ class _Reader(DataSourceReader):
                     arrays = [pa.array(names[a:b], mask=null[a:b]), pa.array(before + part[:-1]), pa.array(np.diff(part))]
                     if self.with_ids:
                         ids = shard.ids(int(part[0]), int(part[-1])).astype("<u4")
-                        own = part - part[0]
-                        arrays.append(pa.array([ids[s:e].tobytes() for s, e in zip(own, own[1:])], pa.binary()))
+                        own = ((part - part[0]) * 4).astype("<i8")
+                        arrays.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(own), pa.py_buffer(ids)]).cast(pa.binary()))
                     else:
                         arrays.append(pa.nulls(b - a, pa.binary()))
                     yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
 
 
 class TokenShards(DataSource):
-    """The data source ``token_shards``; options ``width`` (writing) and ``ids`` (reading)."""
+    """The data source ``token_shards``; options ``width``, ``vocabulary`` and ``end`` (writing) and ``ids`` (reading)."""
 
     @classmethod
     def name(cls) -> str:
@@ -312,4 +331,7 @@ class TokenShards(DataSource):
         return _Reader(self.options["path"], self.options.get("ids", "true") == "true")
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], int(self.options.get("width", "2")), overwrite)
+        given = self.options
+        return _Writer(
+            given["path"], int(given.get("width", "2")), overwrite, given.get("vocabulary"), int(given.get("end", "2"))
+        )
