@@ -129,6 +129,13 @@ class Best:
             np.full((units, k), NONE), np.full((units, k), "", object), np.zeros((units, k)), np.zeros((units, k))
         )
 
+    def of(self, rows: np.ndarray) -> Best:
+        return Best(self.key[rows], self.name[rows], self.affinity[rows], self.score[rows])
+
+    def put(self, rows: np.ndarray, other: Best) -> None:
+        self.key[rows], self.name[rows] = other.key, other.name
+        self.affinity[rows], self.score[rows] = other.affinity, other.score
+
     def merge(self, rows: np.ndarray, key: np.ndarray, names: np.ndarray, affinity: np.ndarray, score: np.ndarray) -> None:
         """Take in candidates (a column each) of the units ``rows``; equal keys rank by name."""
         k = self.key.shape[1]
@@ -231,7 +238,19 @@ def _lists(matrix: np.ndarray) -> pa.ListArray:
 _BEST = pa.struct([("category", pa.string()), ("key", pa.int64()), ("affinity", pa.float64()), ("score", pa.float64())])
 
 
-def _packed(best: list[Best]) -> pa.ListArray:
+BEST_TYPE = "best array<array<struct<category: string, key: bigint, affinity: double, score: double>>>"
+
+
+def rows_by_group(batch: pa.RecordBatch, by: Sequence[str]) -> dict[tuple, list[int]]:
+    """Row numbers of each group of a batch; a group's key holds its values as texts."""
+    keys = list(zip(*([str(x) for x in batch[c].to_pylist()] for c in by))) if by else [()] * len(batch)
+    rows: dict[tuple, list[int]] = {}
+    for i, key in enumerate(keys):
+        rows.setdefault(key, []).append(i)
+    return rows
+
+
+def packed(best: list[Best]) -> pa.ListArray:
     """Per unit a list of variants, each a list of its best."""
     n, k = best[0].key.shape
     parts = [np.stack([getattr(b, f) for b in best], 1).ravel() for f in ("name", "key", "affinity", "score")]
@@ -275,8 +294,7 @@ def rank_by_factors(
 
     kept = [*by, "unit_id", *carry, "cats"]
     types = dict(units.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in kept)
-    schema += ", wanted array<double>, peaks array<double>, best array<array<struct<category: string, key: bigint, affinity: double, score: double>>>"
+    schema = ", ".join(f"{c} {types[c]}" for c in kept) + f", wanted array<double>, peaks array<double>, {BEST_TYPE}"
     state = units.select(kept)
 
     def visit(shared, steps: Sequence[str]) -> Callable:
@@ -288,25 +306,18 @@ def rank_by_factors(
                 n = len(batch)
                 if not n:
                     continue
-                if by:
-                    keys = list(zip(*([str(x) for x in batch[c].to_pylist()] for c in by)))
-                else:
-                    keys = [()] * n
                 cats = batch["cats"].to_pylist()
                 known = "wanted" in batch.schema.names
                 wanted = _matrix(batch["wanted"]) if known and width else np.zeros((n, width))
                 wanted = wanted.copy()
                 peaks = _matrix(batch["peaks"]).copy() if known and scaled else np.full((n, len(scaled)), -np.inf)
                 best = _unpacked(batch["best"], len(variants), k) if known else [Best.empty(n, k) for _ in variants]
-                rows_of: dict[tuple, list[int]] = {}
-                for i, key in enumerate(keys):
-                    rows_of.setdefault(key, []).append(i)
-                for key, listed in rows_of.items():
-                    chunk, rows = chunk_of.get(key), np.array(listed)
+                for key, numbers in rows_by_group(batch, by).items():
+                    chunk, rows = chunk_of.get(key), np.array(numbers)
                     if chunk is None:
                         continue
                     place = {name: i for i, name in enumerate(chunk.names)}
-                    owned = [np.array([place[c] for c in cats[i] if c in place], np.int64) for i in listed]
+                    owned = [np.array([place[c] for c in cats[i] if c in place], np.int64) for i in numbers]
                     if "sums" in steps:
                         row = np.repeat(rows, [len(o) for o in owned])
                         np.add.at(wanted, row, chunk.vectors[np.concatenate(owned)])
@@ -314,13 +325,12 @@ def rank_by_factors(
                         for j, w in enumerate(scaled):
                             peaks[rows, j] = np.maximum(peaks[rows, j], _peaks(chunk, wanted[rows], places[w]))
                     if "best" in steps:
-                        own_best = [Best(*(getattr(b, f)[rows] for f in ("key", "name", "affinity", "score"))) for b in best]
+                        own_best = [b.of(rows) for b in best]
                         _rank(chunk, wanted[rows], {w: peaks[rows, j] for j, w in enumerate(scaled)}, owned, variants, places, own_best)
                         for b, mine in zip(best, own_best, strict=True):
-                            for f in ("key", "name", "affinity", "score"):
-                                getattr(b, f)[rows] = getattr(mine, f)
+                            b.put(rows, mine)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch[c] for c in kept), _lists(wanted), _lists(peaks), _packed(best)], [*kept, "wanted", "peaks", "best"]
+                    [*(batch[c] for c in kept), _lists(wanted), _lists(peaks), packed(best)], [*kept, "wanted", "peaks", "best"]
                 )
 
         return run
@@ -337,13 +347,18 @@ def rank_by_factors(
                 shared.unpersist()
                 changed = after
             state = changed
+    return listed(state, [*by, "unit_id", *carry], variants)
+
+
+def listed(state: DataFrame, keep: Sequence[str], variants: Sequence) -> DataFrame:
+    """A row per unit, variant and place, from the arrays of ``best``."""
     names = F.array(*(F.lit(v.name) for v in variants))
     return (
-        state.select(*by, "unit_id", *carry, F.posexplode("best").alias("at", "found"))
-        .select(*by, "unit_id", *carry, F.get(names, F.col("at")).alias("variant"), F.posexplode("found").alias("place", "b"))
+        state.select(*keep, F.posexplode("best").alias("at", "found"))
+        .select(*keep, F.get(names, F.col("at")).alias("variant"), F.posexplode("found").alias("place", "b"))
         .where(F.col("b.key") > NONE)
         .select(
-            *by, "unit_id", *carry, "variant", F.col("b.category").alias("category"), (F.col("place") + 1).alias("rank"),
+            *keep, "variant", F.col("b.category").alias("category"), (F.col("place") + 1).alias("rank"),
             F.col("b.affinity").alias("affinity"), F.col("b.score").alias("score"),
         )
     )

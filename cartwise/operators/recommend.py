@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import score_key
+from cartwise.operators import threshold
 from cartwise.operators.latent import Latent, rank_by_factors
 from cartwise.session import small_side, stage
 
@@ -163,12 +164,14 @@ def _rank_by_links(
     by: Sequence[str] = (),
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Only the unit rows are shuffled:
+    """Pairs that fit are sent to the tasks (``threshold``). Else only the unit rows are shuffled:
     lookups, sums and rankings all stay in the unit's partition as long as the
     links are small enough for Spark to broadcast.
     """
     by, carry = list(by), list(carry)
     weights = sorted({v.weight for v in variants if v.weight})
+    if threshold.fits(similarity, popular, variants, weights, by):
+        return threshold.rank_by_pairs(units, similarity, popular, variants, k, by, carry)
     links = model_links(similarity, popular, weights, by)
     reach = _reach(similarity, popular, variants, weights, k)
     popular = stage(
