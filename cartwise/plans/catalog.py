@@ -140,6 +140,14 @@ class Tables:
     def train_baskets(self) -> DataFrame:
         return stage(interactions.customer_baskets(self.split.where("split = 'train'")))
 
+    @functools.cached_property
+    def retrained(self) -> str:
+        """Folder of a model retrained with a cut-off after cleaning."""
+        folder = self.folder("models")
+        params = {"method": "hybrid", "alpha": 0.7, "min_support": 10}
+        retrain.monthly_retrain(self.sources, params, folder, VALIDATION_END, version="20000630_0001")
+        return folder
+
     @functools.cached_property
     def grid(self) -> DataFrame:
         return stage(tune.search_table(self.baskets, self.popular, tune.grid_params(tune.GRID)))
@@ -626,6 +634,38 @@ def monthly_retrain_log(t: Tables) -> DataFrame:
     return rounded(log, **MEASURES)
 
 
+@query
+def retrain_log(t: Tables) -> DataFrame:
+    """The log of a run in the usual order: all months are cleaned, then cut off."""
+    return rounded(model_store.read_log(t.spark, t.retrained), **MEASURES)
+
+
+@query
+def model_metadata(t: Tables) -> DataFrame:
+    """What the record of the retrained version says."""
+    found = model_store.load_metadata(t.spark, t.retrained)
+    loo = found["measures"]["leave_one_out"]
+    row = (
+        found["model_version"], found["target"], found["algorithm"], found["parameters"]["alpha"],
+        found["parameters"]["min_support"], found["n_categories"], found["n_users_train"], loo["n_users"],
+        loo["precision"], loo["recall"], ",".join(found["tables"]),
+    )
+    schema = (
+        "model_version string, target string, algorithm string, alpha double, min_support int, n_categories bigint, "
+        "n_users_train bigint, n_users_eval bigint, precision double, recall double, tables string"
+    )
+    return rounded(t.spark.createDataFrame([row], schema), precision=8, recall=8)
+
+
+@query
+def recommend_reloaded_model(t: Tables) -> DataFrame:
+    """The retrained version is read back and recommends to the customers it was trained on."""
+    fitted = model_store.load_model(t.spark, t.retrained)
+    baskets = stage(interactions.customer_baskets(t.clean.where(F.col("order_ym") <= VALIDATION_END)))
+    listed = recommend.recommend_all(baskets, fitted.scoring, fitted.popular, fitted.variant, 10)
+    return rounded(listed, affinity=8, score=8, explain=8)
+
+
 # --- reports --------------------------------------------------------------------------------
 
 

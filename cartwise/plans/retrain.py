@@ -14,7 +14,7 @@ from cartwise.operators.latent import Latent
 from cartwise.operators.master import build_master
 from cartwise.operators.model import Model, fit
 from cartwise.session import stage
-from cartwise.sources.model_store import append_log, export_model
+from cartwise.sources.model_store import publish_model
 from cartwise.sources.tables import Sources
 
 
@@ -53,8 +53,7 @@ def monthly_retrain(
     baskets = stage(customer_baskets(clean))
     model = fit(clean, params, baskets)
     metrics = stage(loo_of(model, baskets, k))
-    export_model(model, metrics, model_dir, version)
-    append_log(model, metrics, model_dir, version, cutoff_ym)
+    publish_model(model, metrics, model_dir, version, cutoff_ym)
     return version
 
 
@@ -149,6 +148,14 @@ def selection_run(
     }
     if model_dir:
         version = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-        found["path"] = export_model(model, loo, model_dir, version)
-        append_log(model, loo, model_dir, version, None)
+        best = first.asDict()
+        measures = {
+            "backtest": found["backtest"].first().asDict(),
+            "cross_validation": found["cross_validation"]
+            .agg(*(F.avg(c).alias(c) for c in ("precision", "recall", "f1", "coverage")))
+            .first()
+            .asDict(),
+            "tuning_winner": {c: best[c] for c in ("search", "recall_mean", "precision_mean")},
+        }
+        found["path"] = publish_model(model, loo, model_dir, version, measures=measures)
     return found

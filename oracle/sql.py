@@ -221,6 +221,11 @@ def cleaned_until(month: str, *parts: str) -> str:
     return with_(SOURCES, _master(f"WHERE order_ym <= '{month}'"), CLEAN, history("clean"), *parts)
 
 
+def cleaned_then_cut(month: str, *parts: str) -> str:
+    cut = f"upto AS MATERIALIZED (SELECT * FROM clean WHERE order_ym <= '{month}')"
+    return with_(SOURCES, _master(), CLEAN, cut, history("upto"), *parts)
+
+
 def metrics_row(table: str) -> str:
     return f"""
 SELECT (SELECT count(DISTINCT order_id) FROM {table}) AS total_orders,

@@ -11,6 +11,7 @@ from oracle.sql import (
     RAW,
     SOURCES,
     category_features,
+    cleaned_then_cut,
     cleaned_until,
     fold_search,
     folds,
@@ -341,6 +342,17 @@ SELECT '20000630_0000' AS version, '{VALIDATION_END}' AS cutoff_ym, (SELECT coun
   n_users AS n_users_eval, (SELECT count(*) FROM pop) AS n_cats, {stable("precision", 8)} AS precision, {stable("recall", 8)} AS recall,
   {stable("f1", 8)} AS f1, {stable("hit_rate", 8)} AS hit_rate, {stable("coverage", 8)} AS coverage,
   'version=20000630_0000' AS artefact FROM ({LOO_METRICS.format(name="hybrid")})""",
+    "retrain_log": cleaned_then_cut(VALIDATION_END, LOO, SIM10, ranking("train", "0.7")) + f"""
+SELECT '20000630_0001' AS version, '{VALIDATION_END}' AS cutoff_ym, (SELECT count(DISTINCT u) FROM firsts) AS n_users_train,
+  n_users AS n_users_eval, (SELECT count(*) FROM pop) AS n_cats, {stable("precision", 8)} AS precision, {stable("recall", 8)} AS recall,
+  {stable("f1", 8)} AS f1, {stable("hit_rate", 8)} AS hit_rate, {stable("coverage", 8)} AS coverage,
+  'version=20000630_0001' AS artefact FROM ({LOO_METRICS.format(name="hybrid")})""",
+    "model_metadata": cleaned_then_cut(VALIDATION_END, LOO, SIM10, ranking("train", "0.7")) + f"""
+SELECT '20000630_0001' AS model_version, 'category_en' AS target, 'hybrid' AS algorithm, 0.7::DOUBLE AS alpha, 10 AS min_support,
+  (SELECT count(*) FROM pop) AS n_categories, (SELECT count(DISTINCT u) FROM firsts) AS n_users_train, n_users AS n_users_eval,
+  {stable("precision", 8)} AS precision, {stable("recall", 8)} AS recall, 'popular,similarity' AS tables
+FROM ({LOO_METRICS.format(name="hybrid")})""",
+    "recommend_reloaded_model": recommended(cleaned_then_cut(VALIDATION_END), "0.7"),
     "report_orders_by_month": RAW + """
 SELECT order_ym, count(DISTINCT order_id) AS orders FROM master WHERE order_ym IS NOT NULL GROUP BY 1""",
     "report_orders_by_review_score": RAW + f"""

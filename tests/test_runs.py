@@ -1,7 +1,9 @@
+import dataclasses
 import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import master, sources, ts
 from test_recommend import naive_fit, naive_loo
 
@@ -150,3 +152,28 @@ def test_widest_customers_have_a_segment(spark):
     wide = spark.createDataFrame([(101,), (6,), (1,)], "n_categories int")
     got = {r["segment"]: r["customers"] for r in reports.diversity_segments(wide).collect()}
     assert got == {"6+ categorías": 2, "1 categoría": 1}
+
+
+def test_a_run_that_dies_between_two_tables_is_not_read(spark, tmp_path):
+    """Tables without a record are no version; the version before stays the newest."""
+    src, folder = shop(spark), str(tmp_path / "models")
+    retrain.monthly_retrain(src, {"method": "svd", "n_components": 2}, folder, version="1")
+    first = model_store.load_model(spark, folder)
+    metrics = model_store.load_metrics(spark, folder, "1")
+    dies = dataclasses.replace(first, products=first.products.withColumn("dot", F.raise_error(F.lit("lost"))))
+    for version in ("1", "2"):  # a new version, and the published one written again
+        with pytest.raises(Exception, match="lost"):
+            model_store.publish_model(dies, metrics, folder, version)
+    assert len(list((tmp_path / "models" / "version=2").glob("attempt=*/popular"))) == 1  # half of it is there
+    assert model_store.latest_version(spark, folder) == "1" and model_store.read_log(spark, folder).count() == 1
+    with pytest.raises(ValueError, match="no published version 2"):
+        model_store.load_model(spark, folder, "2")
+    baskets = stage(customer_baskets(stage(retrain.clean_master(stage(retrain.build_master(src))))))
+    again = model_store.load_model(spark, folder, "1")
+    lists = [recommend_all(baskets, m.scoring, m.popular, m.variant, 3).collect() for m in (first, again)]
+    assert sorted(lists[0]) == sorted(lists[1]) and lists[0]
+    model_store.publish_model(first, metrics, folder, "2", measures={"backtest": {"recall": 0.5}})
+    assert model_store.latest_version(spark, folder) == "2"
+    assert model_store.load_metadata(spark, folder)["measures"]["backtest"] == {"recall": 0.5}
+    with pytest.raises(ValueError, match="no published version"):
+        model_store.load_model(spark, str(tmp_path / "empty"))
