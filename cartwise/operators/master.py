@@ -58,7 +58,10 @@ def build_master(src: Sources) -> DataFrame:
     join (a left join from orders could not split a hot order's items). Orders
     without items enter as empty lines, found by an anti join of order ids
     only. Lookup tables are broadcast by Spark only below its size threshold.
+    Bucketed orders and items meet in one left join of their buckets.
     """
+    if src.bucketed:
+        return _from_buckets(src)
     items = src.items.join(
         labelled_products(src.products, src.category_map), "product_id", "left"
     ).join(src.sellers.select("seller_id", "seller_state"), "seller_id", "left")
@@ -76,6 +79,20 @@ def build_master(src: Sources) -> DataFrame:
     return with_derived(orders.join(lines, "order_id"))
 
 
+def _from_buckets(src: Sources) -> DataFrame:
+    """One scan of the items and no exchange of them: buckets are joined in place, lookups follow."""
+    facts = (
+        src.orders.join(src.items, "order_id", "left")
+        .join(reviews_per_order(src.reviews), "order_id", "left")
+        .join(payments_per_order(src.payments), "order_id", "left")
+    )
+    return with_derived(
+        facts.join(src.customers, "customer_id", "left")
+        .join(labelled_products(src.products, src.category_map), "product_id", "left")
+        .join(src.sellers.select("seller_id", "seller_state"), "seller_id", "left")
+    )
+
+
 def with_derived(joined: DataFrame) -> DataFrame:
     bought = "order_purchase_timestamp"
     return (

@@ -33,7 +33,7 @@ from cartwise.operators import (
 )
 from cartwise.plans import reports, retrain
 from cartwise.session import ensure_checkpoint_dir, stage
-from cartwise.sources import model_store, tables, testdata
+from cartwise.sources import layout, model_store, tables, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,9 +132,16 @@ class Tables:
     def category_features(self) -> DataFrame:
         return stage(features.build_category_features(self.clean))
 
+    @functools.cached_property
+    def months(self) -> DataFrame:
+        """The cleaned table in month folders: periods and cut-offs read theirs only."""
+        path = self.folder("months")
+        layout.write_master(self.clean, path)
+        return layout.read_master(self.spark, path, self.clean.schema)
+
     @functools.cached_property
     def split(self) -> DataFrame:
-        return splits.with_split(self.clean, TRAIN_END, VALIDATION_END)
+        return splits.with_split(self.months, TRAIN_END, VALIDATION_END)
 
     @functools.cached_property
     def train_baskets(self) -> DataFrame:
@@ -173,7 +180,18 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 @query
 def master_table(t: Tables) -> DataFrame:
-    built = master.build_master(t.sources).select(
+    return _shown(master.build_master(t.sources))
+
+
+@query
+def master_from_buckets(t: Tables) -> DataFrame:
+    """The same from orders and items that are stored in buckets by order."""
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return _shown(master.build_master(layout.bucket_sources(t.sources, t.folder("buckets"), buckets)))
+
+
+def _shown(table: DataFrame) -> DataFrame:
+    built = table.select(
         "order_id", "customer_unique_id", "order_status", "order_item_id", "product_id", "category_en",
         "seller_state", "customer_state", "payment_type", "num_installments", "review_score",
         "review_count", "delivery_days", "estimated_days", "delivery_delay", "is_late", "order_year",
@@ -661,7 +679,7 @@ def model_metadata(t: Tables) -> DataFrame:
 def recommend_reloaded_model(t: Tables) -> DataFrame:
     """The retrained version is read back and recommends to the customers it was trained on."""
     fitted = model_store.load_model(t.spark, t.retrained)
-    baskets = stage(interactions.customer_baskets(t.clean.where(F.col("order_ym") <= VALIDATION_END)))
+    baskets = stage(interactions.customer_baskets(t.months.where(F.col("order_ym") <= VALIDATION_END)))
     listed = recommend.recommend_all(baskets, fitted.scoring, fitted.popular, fitted.variant, 10)
     return rounded(listed, affinity=8, score=8, explain=8)
 

@@ -33,17 +33,20 @@ def monthly_retrain(
     cutoff: str = "after",
     version: str | None = None,
     k: int = 10,
+    master: DataFrame | None = None,
 ) -> str:
     """Rebuild, clean, fit, evaluate, export and log one model version; returns the version.
 
     The cut-off applies to the cleaned table. With ``cutoff="before"`` it
     applies before cleaning, so that later months cannot influence medians and
-    the price cap.
+    the price cap. A stored ``master`` (``layout.read_master``) stands in for
+    the one built from the sources; in month folders, only the months up to an
+    early cut-off are read.
     """
     if cutoff not in ("before", "after"):
         raise ValueError("cutoff must be 'before' or 'after'")
     version = version or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
-    master = build_master(sources)
+    master = build_master(sources) if master is None else master
     if cutoff_ym and cutoff == "before":
         master = master.where(F.col("order_ym") <= cutoff_ym)
     clean = clean_master(stage(master))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,7 @@ class Sources:
     payments: DataFrame
     sellers: DataFrame
     category_map: DataFrame
+    bucketed: bool = False  # orders and items are stored in equal buckets by order_id
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -91,7 +92,7 @@ def read_sources(
     """
     names = names or {}
     frames = {}
-    for table in (f.name for f in fields(Sources)):
+    for table in SCHEMAS:
         path = f"{base.rstrip('/')}/{names.get(table, f'{table}.{fmt}')}"
         if fmt == "csv":
             raw = spark.read.csv(
@@ -105,8 +106,8 @@ def read_sources(
 
 def write_sources(sources: Sources, base: str, fmt: str = "parquet") -> None:
     """Write the tables so that ``read_sources`` finds them again."""
-    for f in fields(Sources):
-        writer = getattr(sources, f.name).write.mode("overwrite").format(fmt)
+    for table in SCHEMAS:
+        writer = getattr(sources, table).write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True).option("escape", '"')
-        writer.save(f"{base.rstrip('/')}/{f.name}.{fmt}")
+        writer.save(f"{base.rstrip('/')}/{table}.{fmt}")

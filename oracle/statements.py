@@ -413,6 +413,7 @@ SELECT {CAT_COLUMNS} FROM cat_full ORDER BY cat_full.total_orders DESC, category
 }
 
 
+STATEMENTS["master_from_buckets"] = STATEMENTS["master_table"]
 STATEMENTS["scenario_measures"] = f"""
 WITH a AS (SELECT 'leave_one_out' AS scenario, precision, recall FROM ({loo("hybrid", "0.7")})),
 b AS (SELECT 'cross_validation' AS scenario, {stable("avg(precision)", 8)} AS precision, {stable("avg(recall)", 8)} AS recall
