@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import with_known
@@ -13,15 +13,21 @@ from cartwise.session import stage
 EXCLUDED_STATUS = ["canceled", "unavailable", "created"]
 
 
+def _not_called_off() -> Column:
+    return ~F.coalesce(F.col("order_status").isin(EXCLUDED_STATUS), F.lit(False))
+
+
+def _eligible() -> Column:
+    return F.col("category_en").isNotNull() & F.col("customer_unique_id").isNotNull() & _not_called_off()
+
+
 def eligible_rows(master: DataFrame) -> DataFrame:
     """Rows with category and customer whose order was not called off (NULL status stays)."""
-    return with_known(master, "category_en", "customer_unique_id").where(
-        ~F.coalesce(F.col("order_status").isin(EXCLUDED_STATUS), F.lit(False))
-    )
+    return with_known(master, "category_en", "customer_unique_id").where(_not_called_off())
 
 
-def clean_master(master: DataFrame) -> DataFrame:
-    """Drop, impute and cap, in this order.
+def flagged_master(master: DataFrame) -> DataFrame:
+    """All rows, with ``kept`` and the values that cleaning gives them: ``clean_days``, ``clean_review``.
 
     All fill values come from one small frame of (state, days) counts, which
     is run once: the state medians, and the global median of the column after
@@ -47,17 +53,19 @@ def clean_master(master: DataFrame) -> DataFrame:
         .agg(F.percentile("review_score", 0.5, F.col("n")))
         .scalar()
     )
-    filled = base.join(stage(state_median), "seller_state", "left").select(
-        *(
-            F.coalesce("delivery_days", "state_days", overall_days).alias("delivery_days")
-            if c == "delivery_days"
-            else F.coalesce("review_score", overall_review).alias("review_score")
-            if c == "review_score"
-            else c
-            for c in master.columns
-        )
+    return master.join(stage(state_median), "seller_state", "left").select(
+        *master.columns,
+        F.coalesce("delivery_days", "state_days", overall_days).alias("clean_days"),
+        F.coalesce("review_score", overall_review).alias("clean_review"),
+        F.coalesce(_eligible() & (F.col("price") <= price_cap(base).scalar()), F.lit(False)).alias("kept"),
     )
-    return filled.where(F.col("price") <= price_cap(base).scalar())
+
+
+def clean_master(master: DataFrame) -> DataFrame:
+    """Drop, impute and cap, in this order."""
+    given = {"delivery_days": "clean_days", "review_score": "clean_review"}
+    known = with_known(flagged_master(master), "category_en", "customer_unique_id", "price")
+    return known.where("kept").select(*(F.col(given.get(c, c)).alias(c) for c in master.columns))
 
 
 def price_cap(table: DataFrame) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.columns import share
 from cartwise.operators.quantiles import exact_quantiles
+from cartwise.session import stage
 
 
 def data_quality(master: DataFrame, approximate: bool = False) -> DataFrame:
@@ -18,19 +22,7 @@ def data_quality(master: DataFrame, approximate: bool = False) -> DataFrame:
     """
     types = F.create_map(*(F.lit(x) for pair in master.dtypes for x in pair))
     if approximate:
-        measured = master.agg(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.count_if(F.col(c).isNull()).alias("null_count"),
-                        F.approx_count_distinct(c).alias("unique"),
-                        F.count(F.lit(1)).alias("rows"),
-                    )
-                    for c in master.columns
-                )
-            ).alias("stats")
-        ).select(F.inline("stats"))
+        measured = merged_profile(master.agg(*_sketches(master)).select(F.inline(_rows_of(master))))
     else:
         cells = master.select(
             F.explode(
@@ -65,58 +57,111 @@ def columns_with_nulls(master: DataFrame) -> DataFrame:
     return data_quality(master).where("null_pct > 0").orderBy("null_pct", "column")
 
 
-def business_metrics(master: DataFrame) -> DataFrame:
-    """One row of key figures, unrounded (see ``rounded_metrics``).
+@dataclass(frozen=True)
+class Side:
+    """A view of one table: which rows count, and where its delivery days and review scores stand."""
+
+    name: str
+    counts: Column
+    days: str = "delivery_days"
+    review: str = "review_score"
+
+
+def _raw_side() -> Side:
+    return Side("raw", F.lit(True))
+
+
+def _clean_side() -> Side:
+    return Side("clean", F.col("kept"), "clean_days", "clean_review")
+
+
+# The groupings that all key figures come from.
+_KEYS = ["order_id", "customer_unique_id", "category_en", "product_id", "customer_state"]
+_SETS = {
+    "orders": ("order_id", "customer_unique_id"),
+    "tastes": ("customer_unique_id", "category_en"),
+    "products": ("product_id",),
+    "states": ("customer_unique_id", "customer_state"),
+}
+
+
+def grouped_figures(table: DataFrame, sides: Sequence[Side]) -> DataFrame:
+    """Counts and sums of all sides by the four groupings of ``_SETS``, from one scan and one shuffle.
 
-    Each figure comes from the smallest grouping that gives it; the one-row
-    results are scalar subqueries, so no distinct counts are expanded together.
+    Columns: ``grouping`` (name of the set), the keys, and the measures of each
+    side behind its name.
     """
-    per_order = master.groupBy("order_id", "customer_unique_id").agg(
-        F.count("order_item_id").alias("items"),
-        F.coalesce(F.sum("item_total"), F.lit(0.0)).alias("spend"),
+    measures = []
+    for s in sides:
+        delivered = s.counts & (F.col("order_status") == "delivered")
+        measures += [
+            F.count_if(s.counts).alias(f"{s.name}_rows"),
+            F.count(F.when(s.counts, F.col("order_item_id"))).alias(f"{s.name}_items"),
+            F.sum(F.when(s.counts, F.col("item_total"))).alias(f"{s.name}_spend"),
+            F.max(F.when(s.counts, F.col("price"))).alias(f"{s.name}_price"),
+        ]
+        for what, column in (("review", s.review), ("days", s.days), ("late", "is_late")):
+            value = F.when(delivered, F.col(column))
+            measures += [F.sum(value).alias(f"{s.name}_{what}_sum"), F.count(value).alias(f"{s.name}_{what}_n")]
+        for what, column in (("review", s.review), ("days", s.days), ("category", "_category")):
+            measures.append(F.count_if(s.counts & F.col(column).isNull()).alias(f"{s.name}_{what}_nulls"))
+    # Bits of the grouping number are set for the keys that a set does not group by.
+    numbers = {
+        name: sum(1 << (len(_KEYS) - 1 - i) for i, k in enumerate(_KEYS) if k not in keys) for name, keys in _SETS.items()
+    }
+    names = F.create_map(*(F.lit(x) for name, number in numbers.items() for x in (number, name)))
+    grouped = (
+        table.withColumn("_category", F.col("category_en"))  # the key itself is null in most sets
+        .groupingSets([tuple(F.col(k) for k in keys) for keys in _SETS.values()], *_KEYS)
+        .agg(F.grouping_id().cast("int").alias("_number"), *measures)
     )
+    return grouped.withColumn("grouping", names[F.col("_number")]).drop("_number")
+
+
+def business_metrics(master: DataFrame) -> DataFrame:
+    """One row of key figures, unrounded (see ``rounded_metrics``)."""
+    side = _raw_side()
+    return _key_figures(stage(grouped_figures(master, [side])), side.name)
+
+
+def _key_figures(grouped: DataFrame, side: str) -> DataFrame:
+    """One row for a side, from the staged groupings: small next to the table itself."""
+
+    def part(grouping: str) -> DataFrame:
+        return grouped.where((F.col("grouping") == grouping) & (F.col(f"{side}_rows") > 0))
+
+    per_order = part("orders")
     orders = per_order.groupBy("order_id").agg(
-        F.sum("items").alias("items"), F.sum("spend").alias("spend")
+        F.sum(f"{side}_items").alias("items"), F.coalesce(F.sum(f"{side}_spend"), F.lit(0.0)).alias("spend")
     )
     per_customer = (
         per_order.where("customer_unique_id IS NOT NULL")
         .groupBy("customer_unique_id")
         .agg(F.count("order_id").alias("orders"))
     )
-    user_cats = (
-        master.where("customer_unique_id IS NOT NULL AND category_en IS NOT NULL")
-        .select("customer_unique_id", "category_en")
-        .distinct()
-    )
-    state_users = (
-        master.where("customer_state IS NOT NULL AND customer_unique_id IS NOT NULL")
-        .select("customer_state", "customer_unique_id")
-        .distinct()
-        .groupBy("customer_state")
-        .count()
-        .orderBy(F.desc("count"), "customer_state")
-        .limit(1)
-    )
     order_figures = orders.agg(
-        F.struct(
-            F.count("order_id").alias("n"),
-            F.avg("items").alias("items"),
-            F.avg("spend").alias("spend"),
-        )
+        F.struct(F.count("order_id").alias("n"), F.avg("items").alias("items"), F.avg("spend").alias("spend"))
     ).scalar()
     customer_figures = per_customer.agg(
         F.struct(F.count(F.lit(1)).alias("n"), share(F.col("orders") > 1).alias("repeat"))
     ).scalar()
-    pairs = user_cats.agg(F.count(F.lit(1))).scalar()
-    categories = (
-        master.where("category_en IS NOT NULL").agg(F.count_distinct("category_en")).scalar()
-    )
-    products = master.agg(F.count_distinct("product_id")).scalar()
-    delivered = master.where("order_status = 'delivered'")
-    return delivered.agg(
-        F.avg("review_score").alias("avg_review_score"),
-        F.avg("delivery_days").alias("avg_delivery_days"),
-        (F.avg("is_late") * 100).alias("late_delivery_rate_pct"),
+    tastes = part("tastes").where("category_en IS NOT NULL")
+    pairs = tastes.where("customer_unique_id IS NOT NULL").agg(F.count(F.lit(1))).scalar()
+    categories = tastes.agg(F.count_distinct("category_en")).scalar()
+    products = part("products").agg(F.count("product_id")).scalar()
+    top_state = (
+        part("states").where("customer_state IS NOT NULL AND customer_unique_id IS NOT NULL")
+        .groupBy("customer_state").count().orderBy(F.desc("count"), "customer_state").limit(1)
+        .select("customer_state").scalar()
+    )
+
+    def mean(what: str) -> Column:
+        return F.try_divide(F.sum(f"{side}_{what}_sum"), F.sum(f"{side}_{what}_n"))
+
+    return per_order.agg(
+        mean("review").alias("avg_review_score"),
+        mean("days").alias("avg_delivery_days"),
+        (mean("late") * 100).alias("late_delivery_rate_pct"),
     ).select(
         order_figures["n"].alias("total_orders"),
         customer_figures["n"].alias("total_customers"),
@@ -129,7 +174,7 @@ def business_metrics(master: DataFrame) -> DataFrame:
         "late_delivery_rate_pct",
         (customer_figures["repeat"] * 100).alias("repeat_customer_rate"),
         F.try_divide(pairs, customer_figures["n"]).alias("avg_categories_per_customer"),
-        state_users.select("customer_state").scalar().alias("top_state_customers"),
+        top_state.alias("top_state_customers"),
     )
 
 
@@ -149,39 +194,40 @@ def rounded_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.withColumns({c: F.round(c, d) for c, d in METRIC_DECIMALS.items()})
 
 
-def metrics_raw_and_clean(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """The key figures of both tables, one row each."""
+def grouped_sides(flagged: DataFrame) -> DataFrame:
+    """Both sides of ``clean.flagged_master`` in one scan of the master; staged."""
+    return stage(grouped_figures(flagged, [_raw_side(), _clean_side()]))
+
+
+def metrics_raw_and_clean(grouped: DataFrame) -> DataFrame:
+    """The key figures of both sides, one row each, from ``grouped_sides``."""
     return (
-        business_metrics(raw)
+        _key_figures(grouped, "raw")
         .withColumn("dataset", F.lit("raw"))
-        .unionByName(business_metrics(clean).withColumn("dataset", F.lit("clean")))
+        .unionByName(_key_figures(grouped, "clean").withColumn("dataset", F.lit("clean")))
     )
 
 
-def _null_pct(column: str) -> Column:
-    return share(F.col(column).isNull()) * 100
+def _cleaning_figures(grouped: DataFrame, flagged: DataFrame, side: Side, column: str) -> DataFrame:
+    per_order = grouped.where((F.col("grouping") == "orders") & (F.col(f"{side.name}_rows") > 0))
+    median = exact_quantiles(flagged.where(side.counts), "price", {"median": 0.5}).scalar()
+    orders = per_order.agg(F.count_distinct("order_id")).scalar()
+    customers = per_order.agg(F.count_distinct("customer_unique_id")).scalar()
+    rows = F.sum(f"{side.name}_rows")
 
+    def null_pct(what: str) -> Column:
+        return F.sum(f"{side.name}_{what}_nulls") * 100 / rows
 
-def _cleaning_figures(table: DataFrame, side: str) -> DataFrame:
-    median = exact_quantiles(table, "price", {"median": 0.5}).scalar()
-    orders = table.agg(F.count_distinct("order_id")).scalar()
-    customers = table.agg(F.count_distinct("customer_unique_id")).scalar()
     return (
-        table.agg(
-            F.count(F.lit(1)).cast("double").alias("rows"),
-            _null_pct("delivery_days").alias("null_pct_delivery_days"),
-            _null_pct("review_score").alias("null_pct_review_score"),
-            _null_pct("category_en").alias("null_pct_category_en"),
-            F.max("price").alias("max_price"),
-        )
-        .withColumns(
-            {
-                "orders": orders.cast("double"),
-                "customers": customers.cast("double"),
-                "median_price": median,
-            }
+        per_order.agg(
+            F.coalesce(rows, F.lit(0)).cast("double").alias("rows"),
+            null_pct("days").alias("null_pct_delivery_days"),
+            null_pct("review").alias("null_pct_review_score"),
+            null_pct("category").alias("null_pct_category_en"),
+            F.max(f"{side.name}_price").alias("max_price"),
         )
-        .unpivot([], _REPORT_ORDER, "metric", side)
+        .withColumns({"orders": orders.cast("double"), "customers": customers.cast("double"), "median_price": median})
+        .unpivot([], _REPORT_ORDER, "metric", column)
     )
 
 
@@ -197,9 +243,11 @@ _REPORT_ORDER = [
 ]
 
 
-def cleaning_report(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """Eight figures before and after cleaning, in report order."""
-    joined = _cleaning_figures(raw, "before").join(_cleaning_figures(clean, "after"), "metric")
+def cleaning_report(grouped: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Eight figures before and after cleaning, in report order (``grouped_sides`` of ``flagged``)."""
+    before = _cleaning_figures(grouped, flagged, _raw_side(), "before")
+    after = _cleaning_figures(grouped, flagged, _clean_side(), "after")
+    joined = before.join(after, "metric")
     position = F.array_position(F.array(*(F.lit(m) for m in _REPORT_ORDER)), F.col("metric"))
     return joined.select(position.cast("int").alias("position"), "metric", "before", "after").orderBy(
         "position"
@@ -215,10 +263,55 @@ NULL_CHECK_COLUMNS = [
 ]
 
 
-def null_share_before_after(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    def measured(table: DataFrame, side: str) -> DataFrame:
-        return table.agg(*(_null_pct(c).alias(c) for c in NULL_CHECK_COLUMNS)).unpivot(
-            [], NULL_CHECK_COLUMNS, "column", side
+def null_share_before_after(flagged: DataFrame) -> DataFrame:
+    """Null percentages of all rows and of the kept ones, in one scan of ``clean.flagged_master``."""
+    filled = {"delivery_days": "clean_days", "review_score": "clean_review"}
+    rows, kept = F.count(F.lit(1)), F.count_if(F.col("kept"))
+    both = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.try_divide(F.count_if(F.col(c).isNull()) * 100, rows).alias("before"),
+            F.try_divide(F.count_if(F.col("kept") & F.col(filled.get(c, c)).isNull()) * 100, kept).alias("after"),
+        )
+        for c in NULL_CHECK_COLUMNS
+    ]
+    return flagged.agg(F.array(*both).alias("shares")).select(F.inline("shares"))
+
+
+def profile_by_month(master: DataFrame) -> DataFrame:
+    """Mergeable state of the column profile: order_ym, column, rows, null_count and a sketch of the distinct values.
+
+    One pass without a shuffle of values. Months are added to a stored state as
+    they come; ``merged_profile`` reads any set of them.
+    """
+    measured = master.groupBy(F.col("order_ym").alias("month")).agg(*_sketches(master))
+    return measured.select(F.col("month").alias("order_ym"), F.inline(_rows_of(master)))
+
+
+def _sketches(master: DataFrame) -> list[Column]:
+    found = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(master.columns):
+        found.append(F.count(c).alias(f"known_{i}"))
+        found.append(F.hll_sketch_agg(F.when(F.col(c).isNotNull(), F.xxhash64(c)), F.lit(14)).alias(f"sketch_{i}"))
+    return found
+
+
+def _rows_of(master: DataFrame) -> Column:
+    return F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("column"), F.col("rows"), (F.col("rows") - F.col(f"known_{i}")).alias("null_count"),
+                F.col(f"sketch_{i}").alias("sketch"),
+            )
+            for i, c in enumerate(master.columns)
         )
+    )
 
-    return measured(raw, "before").join(measured(clean, "after"), "column")
+
+def merged_profile(state: DataFrame) -> DataFrame:
+    """Rows, nulls and the estimated number of distinct values (off by about 1 %) of the months in ``state``."""
+    return state.groupBy("column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique"),
+    )

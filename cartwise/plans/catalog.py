@@ -87,6 +87,14 @@ class Tables:
     def clean(self) -> DataFrame:
         return stage(clean.clean_master(self.raw))
 
+    @functools.cached_property
+    def flagged(self) -> DataFrame:
+        return clean.flagged_master(self.raw)
+
+    @functools.cached_property
+    def sides(self) -> DataFrame:
+        return quality.grouped_sides(self.flagged)
+
     @functools.cached_property
     def baskets(self) -> DataFrame:
         return stage(interactions.customer_baskets(self.clean))
@@ -232,6 +240,17 @@ def data_quality(t: Tables) -> DataFrame:
     return quality.data_quality(t.raw)
 
 
+@query
+def data_quality_by_sketch(t: Tables) -> DataFrame:
+    """The profile merged from monthly sketches, and whether its distinct counts are within 5 % of the true ones."""
+    path = t.folder("profile")
+    quality.profile_by_month(t.raw).write.parquet(path)
+    merged = quality.merged_profile(t.spark.read.parquet(path))
+    exact = quality.data_quality(t.raw).select("column", F.col("unique").alias("exact"))
+    near = F.abs(F.col("unique") - F.col("exact")) <= 0.05 * F.col("exact")
+    return merged.join(exact, "column").select("column", "rows", "null_count", near.alias("near"))
+
+
 @query
 def columns_with_nulls(t: Tables) -> DataFrame:
     return quality.columns_with_nulls(t.raw)
@@ -257,7 +276,7 @@ def _figures(df: DataFrame) -> DataFrame:
 
 @query
 def metrics_raw_and_clean(t: Tables) -> DataFrame:
-    return _figures(quality.metrics_raw_and_clean(t.raw, t.clean))
+    return _figures(quality.metrics_raw_and_clean(t.sides))
 
 
 @query
@@ -276,12 +295,12 @@ def cleaning_log(t: Tables) -> DataFrame:
 
 @query
 def cleaning_report(t: Tables) -> DataFrame:
-    return rounded(quality.cleaning_report(t.raw, t.clean), before=4, after=4)
+    return rounded(quality.cleaning_report(t.sides, t.flagged), before=4, after=4)
 
 
 @query
 def null_share_before_after(t: Tables) -> DataFrame:
-    return rounded(quality.null_share_before_after(t.raw, t.clean), before=6, after=6)
+    return rounded(quality.null_share_before_after(t.flagged), before=6, after=6)
 
 
 # --- features and interactions -------------------------------------------------

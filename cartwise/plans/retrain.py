@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.operators import evaluate, evolution, factors, features, quality, splits, tune
-from cartwise.operators.clean import clean_master
+from cartwise.operators.clean import clean_master, flagged_master
 from cartwise.operators.interactions import customer_baskets, interactions, matrix_stats, popularity
 from cartwise.operators.latent import Latent
 from cartwise.operators.master import build_master
@@ -69,6 +69,7 @@ def feature_run(
     """Master table to features, SVD similarity and its evaluation; all frames by name."""
     raw = stage(build_master(sources))
     clean = stage(clean_master(raw))
+    flagged = flagged_master(raw)
     baskets = stage(customer_baskets(clean))
     matrix = stage(interactions(clean))
     popular = stage(popularity(clean))
@@ -80,7 +81,7 @@ def feature_run(
     return {
         "master_raw": raw,
         "master_clean": clean,
-        "cleaning_report": quality.cleaning_report(raw, clean),
+        "cleaning_report": quality.cleaning_report(quality.grouped_sides(flagged), flagged),
         "rfm": features.build_rfm(clean),
         "category_features": features.build_category_features(clean),
         "matrix": matrix,

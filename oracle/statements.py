@@ -181,6 +181,8 @@ SELECT product_id, product_category_name, category_en, product_weight_g, product
     "csv_round_trip": with_(SOURCES, _master(), history("master")) + """
 SELECT cat AS category_en, num_orders, rank FROM pop""",
     "data_quality": RAW + QUALITY + "\nSELECT * FROM profile",
+    "data_quality_by_sketch": RAW + QUALITY + """
+SELECT "column", (SELECT count(*) FROM master) AS rows, null_count, true AS near FROM profile""",
     "columns_with_nulls": RAW + QUALITY + "\nSELECT * FROM profile WHERE null_pct > 0",
     "business_metrics": RAW + metrics_row("master"),
     "metrics_raw_and_clean": CLEANED

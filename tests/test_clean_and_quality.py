@@ -3,9 +3,10 @@ import datetime
 import pytest
 from conftest import master
 
-from cartwise.operators import quality
+from cartwise.operators import clean, quality
 from cartwise.operators.clean import clean_master, cleaning_log
 from cartwise.plans import reports
+from cartwise.session import stage
 
 
 def test_status_filter_keeps_null(spark):
@@ -86,3 +87,38 @@ def test_reports_drop_missing_months(spark):
     assert got == {"2018-01": 1, "2018-02": 1}
     demand = reports.demand_by_month(master(spark, rows)).first()
     assert (demand["Ene"], demand["Feb"], demand["Mar"]) == (1, 1, 0)
+
+
+def test_key_figures_come_from_one_scan(spark):
+    table = stage(master(spark, [{"price": float(n), "order_id": f"o{n // 2}"} for n in range(20)]))
+    plan = quality.grouped_figures(table, [quality._raw_side()])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_both_sides_equal_each_table_alone(spark):
+    rows = [
+        {"order_id": f"o{n // 3}", "customer_unique_id": f"u{n % 7}" if n % 11 else None, "category_en": f"k{n % 4}" if n % 5 else None,
+         "product_id": f"p{n % 6}", "order_status": "canceled" if n % 8 == 0 else "delivered", "customer_state": f"S{n % 3}",
+         "delivery_days": None if n % 4 == 1 else float(n % 9), "review_score": None if n % 6 == 5 else float(n % 5 + 1),
+         "price": 10.0 + n % 6 if n % 13 else 900.0}
+        for n in range(90)
+    ]
+    raw = stage(master(spark, rows))
+    flagged, cleaned = clean.flagged_master(raw), stage(clean_master(raw))
+    both = {r["dataset"]: r.asDict() for r in quality.metrics_raw_and_clean(quality.grouped_sides(flagged)).collect()}
+    for name, table in (("raw", raw), ("clean", cleaned)):
+        alone = quality.business_metrics(table).first().asDict()
+        assert {k: v for k, v in both[name].items() if k != "dataset"} == pytest.approx(alone)
+    report = {r["metric"]: (r["before"], r["after"]) for r in quality.cleaning_report(quality.grouped_sides(flagged), flagged).collect()}
+    assert report["rows"] == (90, cleaned.count()) and report["null_pct_category_en"][1] == 0
+    assert report["orders"] == (30, cleaned.select("order_id").distinct().count())
+
+
+def test_monthly_sketches_merge(spark):
+    rows = [{"order_id": f"o{n}", "product_id": f"p{n % 40}", "order_purchase_timestamp": datetime.datetime(2018, n % 5 + 1, 2)} for n in range(400)]
+    state = stage(quality.profile_by_month(master(spark, rows)))
+    assert state.select("order_ym").distinct().count() == 5
+    whole = {r["column"]: r for r in quality.merged_profile(state).collect()}
+    assert whole["product_id"]["unique"] == 40 and abs(whole["order_id"]["unique"] - 400) <= 8 and whole["price"]["rows"] == 400
+    some = {r["column"]: r for r in quality.merged_profile(state.where("order_ym <= '2018-02'")).collect()}
+    assert some["order_id"]["rows"] == 160 and abs(some["order_id"]["unique"] - 160) <= 4
