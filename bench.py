@@ -19,13 +19,14 @@ from cartwise.plans.catalog import QUERIES, tables_of  # noqa: E402
 from cartwise.session import local_session  # noqa: E402
 
 # Shared tables in build order, then queries over them.
-TABLES = ["raw", "clean", "baskets", "popular", "units", "jaccard", "products", "factors", "svd", "rfm"]
+TABLES = ["raw", "clean", "sides", "months", "baskets", "popular", "units", "jaccard", "products", "factors", "svd", "rfm"]
 HEADLINE = [
     "data_quality", "business_metrics", "cleaning_report", "category_features", "user_item", "history_rows",
     "copurchase_pairs", "recommend_popularity", "recommend_hybrid", "recommend_svd", "popularity_curve",
     "loo_copurchase", "loo_hybrid", "compare_popularity_and_svd", "period_recall_svd", "temporal_backtest",
     "cross_validation", "grid_search", "random_search", "nmf_category_factors", "report_demand_by_month",
-    "report_rfm_histograms",
+    "report_rfm_histograms", "svd_user_factors", "conditional_search", "tuning_winner", "model_families",
+    "expanding_refits", "monthly_retrain_log", "recommend_reloaded_model",
 ]
 
 
