@@ -14,7 +14,10 @@ QUERIES = [
     "category_features", "user_item", "customer_history", "history_rows", "popularity", "copurchase_pairs",
     "jaccard_similarity", "gram_matrix", "recommend_hybrid", "popularity_curve", "loo_hybrid", "split_summary",
     "period_recall_copurchase", "temporal_backtest", "cross_validation", "expanding_popularity",
-    "report_demand_by_month", "report_rfm_histograms", "report_rfm_segments",
+    "report_demand_by_month", "report_rfm_histograms", "report_rfm_segments", "svd_category_factors",
+    "svd_user_factors", "svd_explained_variance", "recommend_svd", "compare_popularity_and_svd", "period_recall_svd",
+    "nmf_quality", "metrics_raw_and_clean", "data_quality_by_sketch", "master_from_buckets", "retrain_log",
+    "model_metadata", "recommend_reloaded_model",
 ]
 
 
