@@ -66,3 +66,13 @@ def test_error_falls_and_joined_tables_give_the_same(data, monkeypatch):
     joined, other = factors.nmf_factors(baskets, 3, rounds=6, tolerance=1e-3)
     assert other == pytest.approx(errors)
     assert np.vstack(joined.orderBy("category_en").toPandas()["factors"]) == pytest.approx(h, abs=1e-4)
+
+
+def test_factors_come_back_without_arrow(spark, data):
+    """Sessions need not have Arrow on; then a frame takes plain numbers only."""
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        found, errors = factors.nmf_factors(data[0], 3, rounds=6, tolerance=1e-3)
+        assert found.count() == 9 and min(min(r["factors"]) for r in found.collect()) >= 0 and errors[-1] < errors[0]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
