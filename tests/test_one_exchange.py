@@ -7,7 +7,7 @@ import datetime
 import pyarrow as pa
 import pytest
 
-from cartwise.operators import cooccurrence, evaluate, evolution, interactions, latent, threshold
+from cartwise.operators import cooccurrence, evaluate, evolution, features, interactions, latent, threshold
 from tests.conftest import master
 
 
@@ -97,3 +97,10 @@ def test_ranking_holds_a_bounded_number_of_units(monkeypatch):
     assert [len(p) for p in parts] == [3, 3, 1]
     assert [o.tolist() for o in latent.owned_of(parts[0]["cats"], ["A", "B", "C"], [0, 1, 2])] == [[0], [1], []]
     assert [o.tolist() for o in latent.owned_of(parts[1]["cats"], ["A", "B", "C"], [2, 0])] == [[1], [2, 0]]
+
+
+def test_customer_features_move_rows_once(spark):
+    base = features.rfm_base(purchases(spark))
+    assert exchanges(base) == 1
+    rows = {r.customer_unique_id: (r.frequency, r.category_diversity, r.total_items, r.last_category) for r in base.collect()}
+    assert rows["u"] == (4, 3, 5, "C") and rows["w"] == (1, 1, 1, "A")
