@@ -28,7 +28,7 @@ LENGTH = 2048
 SEGMENTS = 32
 END = 1  # id that closes a document
 POOL = 256  # examples that wait in a task for a place; a full pool closes sequences
-_BATCH_BYTES = 2 << 20  # text that is encoded at once
+_BATCH_BYTES = 8 << 20  # text that is encoded at once: a word is looked up once for it
 
 
 class Packer:
@@ -176,16 +176,14 @@ def pack_documents(
             return done
 
         number = 0
-        for batch in batches:
-            for part in _parts(batch):
-                encoded = encoder.encode([t or "" for t in part["text"]])
-                for name, ids in zip(part["doc_id"], encoded, strict=True):
-                    ids = np.append(ids, np.uint32(END))
-                    held[number] = (None if pd.isna(name) else int(name), ids, len(ids))
-                    place(packer.add(number, len(ids)))
-                    number += 1
-                if out:
-                    yield frame()
+        for names, texts in _parts(batches):
+            for name, ids in zip(names, encoder.encode(texts), strict=True):
+                ids = np.append(ids, np.uint32(END))
+                held[number] = (None if pd.isna(name) else int(name), ids, len(ids))
+                place(packer.add(number, len(ids)))
+                number += 1
+            if out:
+                yield frame()
         place(packer.finish())
         if ready:
             close()
@@ -199,8 +197,16 @@ def pack_documents(
     return rows.mapInPandas(pack, PIECES)
 
 
-def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Consecutive rows of about ``_BATCH_BYTES`` of text."""
-    sizes = batch["text"].str.len().fillna(0).to_numpy().cumsum()
-    for _, part in batch.groupby((sizes // _BATCH_BYTES).astype(np.int64), sort=True):
-        yield part
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of consecutive rows of all batches, about ``_BATCH_BYTES`` of text at once."""
+    names, texts, weight = [], [], 0
+    for batch in batches:
+        for name, text in zip(batch["doc_id"].tolist(), batch["text"], strict=True):
+            names.append(name)
+            texts.append(text or "")
+            weight += len(texts[-1])
+            if weight >= _BATCH_BYTES:
+                yield names, texts
+                names, texts, weight = [], [], 0
+    if names:
+        yield names, texts

@@ -13,6 +13,8 @@ import re
 import sys
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,20 +61,25 @@ class Encoder:
         if len(self.known) > _MOST_WORDS:
             self._forget()
         out: list = [None] * len(texts)
-        fast, chunks, sizes = [], [], []
+        fast, lowered = [], []
         for i, text in enumerate(texts):
             if "<|" in text or not _KNOWN.fullmatch(text):
                 ids = self.library.encode(text, add_special_tokens=False).ids
                 out[i] = np.array(ids, np.uint32)
             else:
-                found = text.lower().split()
                 fast.append(i)
-                chunks.extend(found)
-                sizes.append(len(found))
-        self._learn(set(chunks).difference(self.known))
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        ids, ends = self._ids(at)
-        bound = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int64)]
+                lowered.append(text.lower())
+        chunks = pc.utf8_split_whitespace(pa.array(lowered, pa.large_string()))
+        # Every different chunk is looked up once. White space at an end of a text leaves an empty one.
+        coded = chunks.flatten().dictionary_encode()
+        names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self._learn({c for c in names if c and c not in self.known})
+        place = np.fromiter((self.known[c] if c else -1 for c in names), np.int64, len(names))
+        at = place[code]
+        filled = at >= 0
+        ids, ends = self._ids(at[filled])
+        sizes = np.concatenate([[0], np.cumsum(filled)])[chunks.offsets.to_numpy()]
+        bound = np.concatenate([[0], ends])[sizes]
         for k, i in enumerate(fast):
             out[i] = ids[bound[k] : bound[k + 1]]
         return out

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import xxhash
 from tokenizers import Tokenizer
@@ -49,6 +50,30 @@ def test_packing_is_an_exact_round_trip(spark):
     assert out["padding"].sum() <= 0.02 * out["length"].sum()
 
 
+def test_a_word_of_many_texts_is_looked_up_once():
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, key):
+            Counted.looked += 1
+            return super().__getitem__(key)
+
+    encoder = tokens.Encoder(PATH)
+    encoder.known = Counted()
+    texts = ["  the same\x85words\xa0 again\t", "", " ", "İstanbul isn't far\x0b", "the same words again " * 50] * 40
+    got = encoder.encode(texts)
+    want = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts[:5]] * 40
+    assert [ids.tolist() for ids in got] == want and Counted.looked < 30
+
+
+def test_rows_of_several_batches_are_encoded_together(monkeypatch):
+    batches = [pd.DataFrame({"doc_id": [2**60 + i], "text": [None if i == 3 else "a" * 10]}) for i in range(8)]
+    monkeypatch.setattr(packing, "_BATCH_BYTES", 25)
+    parts = list(packing._parts(iter(batches)))
+    assert [len(names) for names, _ in parts] == [3, 4, 1] and parts[1][1][0] == ""
+    assert [n for names, _ in parts for n in names] == [2**60 + i for i in range(8)]
+
+
 def test_packer_keeps_all_limits_without_cuts():
     rng, packer = random.Random(2), packing.Packer(100, 4, 50, cut=False)
     items = {i: (rng.randint(1, 100), 0) for i in range(700)}
