@@ -42,6 +42,25 @@ def test_buckets_give_the_same_master_with_one_scan_of_the_items(spark, tmp_path
         raise AssertionError(text)
 
 
+def test_lines_of_buckets_move_for_products_only(spark, tmp_path):
+    """With no table small enough for Spark to broadcast: customers meet orders, not lines, and sellers are few."""
+    src, limit = shop(spark), "spark.sql.autoBroadcastJoinThreshold"
+    stored, before = layout.bucket_sources(src, str(tmp_path), 4), spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")
+        built = build_master(stored)
+        text, rows = plan(built), built.select(build_master(src).columns).collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert sorted(map(str, rows)) == sorted(map(str, build_master(src).collect()))
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum("(product_id#" in line for line in moved) == 2 and not any("(seller_id#" in line for line in moved)
+    # The exchanges by customer lie below the join of orders and items.
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if re.search(r"FileScan parquet [^\n]*items_", line))
+    assert max(i for i, line in enumerate(lines) if "Exchange hashpartitioning(customer_id#" in line) < scan
+
+
 def _months_read(df):
     return {m for f in df.inputFiles() for m in re.findall(r"order_ym=([^/]+)/", f)}
 
